@@ -25,7 +25,12 @@ BASE_VOCAB_SIZE = 4096
 MAX_VOCAB_SIZE = 65536
 INIT_STD = 0.02
 
-# The 29 code points that Python's str.strip() and str.split() treat as whitespace.
+# The 29 code points that Python's str.strip() and str.split() treat as whitespace: as characters,
+# as a Java class under the (?U) flag, and as ranges that other regex engines read too.
+WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0 "
+            "           "
+            "    　")
+WS_JAVA = r"(?U)[\s\x1c-\x1f]"
 WS = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
 # The public byte-level pre-tokenizer pattern, in Java regex syntax.

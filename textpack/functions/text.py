@@ -14,7 +14,8 @@ from textpack.constants import (
     MIN_COMMON_WORDS,
     MIN_DISTINCT_WORDS,
     USER_TOKEN,
-    WS,
+    WS_CHARS,
+    WS_JAVA,
 )
 
 
@@ -24,12 +25,12 @@ def _col(c: Column | str) -> Column:
 
 def py_strip(text: Column | str) -> Column:
     """Strip Unicode whitespace on both ends (``trim`` would remove spaces only)."""
-    return F.regexp_replace(_col(text), rf"\A[{WS}]+|[{WS}]+\z", "")
+    return F.btrim(_col(text), F.lit(WS_CHARS))
 
 
 def collapse_ws(text: Column | str) -> Column:
     """Each run of whitespace becomes one space; none is left at the ends."""
-    return F.btrim(F.regexp_replace(_col(text), f"[{WS}]+", " "))
+    return F.btrim(F.regexp_replace(_col(text), f"{WS_JAVA}+", " "))
 
 
 def clean(text: Column | str) -> Column:
@@ -50,8 +51,8 @@ def ascii_ratio(text: Column | str) -> Column:
     """Share of code points below 128; null for an empty text."""
     text = _col(text)
     n = F.char_length(text)
-    n_ascii = F.char_length(F.regexp_replace(text, r"[^\x00-\x7f]+", ""))
-    return n_ascii / F.nullif(n, F.lit(0))
+    n_other = F.char_length(F.regexp_replace(text, r"[\x00-\x7f]+", ""))
+    return (n - n_other) / F.nullif(n, F.lit(0))
 
 
 def word_set(text: Column | str) -> Column:

@@ -12,8 +12,18 @@ from textpack.operators.blocks import pair_turns
 LINES_PER_TURN = 1 << 32
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Shuffle a table that comes in fewer splits than there are cores, such as one file with one
+    row group. A table of any size has more splits and is left as it is."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return rows.repartition(4 * cores, *keys)
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    rows = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    return spread(rows, "doc_id")
 
 
 def conversations(spark: SparkSession, folder: str) -> DataFrame:
