@@ -8,7 +8,6 @@ and the chain grows with the number of merges while the UDF does not.
 from __future__ import annotations
 
 import re
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +20,8 @@ from textpack.functions.text import _col
 from textpack.operators.vocabulary import Vocabulary
 
 LATIN1 = "".join(chr(b) for b in range(256))
-# The per-task memory of encoded pieces is emptied at this size.
-MEMO_SIZE = 200_000
+# Up to this size the rank of every pair of tokens is kept in one table.
+DENSE_VOCAB = 1024
 
 
 def _latin1(text: Column) -> Column:
@@ -89,24 +88,6 @@ def piece_count(text: Column | str, controls: list[str]) -> Column:
     return F.size(pieces(text, controls))
 
 
-def merge_piece(ids: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """Apply the merges to one piece, always the lowest-ranked pair first."""
-    while len(ids) > 1:
-        best = min((ranks[p] for p in zip(ids, ids[1:]) if p in ranks), default=None)
-        if best is None:
-            return ids
-        merged, i = [], 0
-        while i < len(ids):
-            if i + 1 < len(ids) and ranks.get((ids[i], ids[i + 1])) == best:
-                merged.append(best[1])
-                i += 2
-            else:
-                merged.append(ids[i])
-                i += 1
-        ids = merged
-    return ids
-
-
 def _take_runs(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """``values[start:start + length]`` of each run, one after the other."""
     ends = np.cumsum(lengths)
@@ -133,6 +114,19 @@ def _string_bytes(flat: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], np.diff(offsets)
 
 
+def _with_controls(ids: np.ndarray, lengths: np.ndarray, at: np.ndarray, control_ids: np.ndarray
+                   ) -> tuple[np.ndarray, np.ndarray]:
+    """Replace the bytes of the strings at the given places by one control id each."""
+    starts = (np.cumsum(lengths) - lengths)[at]
+    ids = ids.copy()
+    ids[starts] = control_ids
+    keep = np.ones(len(ids), dtype=bool)
+    keep[_take_runs(np.arange(len(ids)), starts + 1, lengths[at] - 1)] = False
+    lengths = lengths.copy()
+    lengths[at] = 1
+    return ids[keep], lengths
+
+
 def _encode_bytes(parts: Column, vocabulary: Vocabulary) -> Column:
     """Ids of texts cut at control tokens, when no merge has been learned: one id per byte."""
     table = np.array(byte_ids(), dtype=np.int32)
@@ -146,13 +140,7 @@ def _encode_bytes(parts: Column, vocabulary: Vocabulary) -> Column:
         which = pc.fill_null(pc.index_in(flat, controls), -1).to_numpy(zero_copy_only=False)
         at = np.flatnonzero(which >= 0)
         if len(at):
-            # A control token keeps its first byte's place, which becomes its id.
-            starts = (np.cumsum(lengths) - lengths)[at]
-            ids[starts] = control_ids[which[at]]
-            keep = np.ones(len(ids), dtype=bool)
-            keep[_take_runs(np.arange(len(ids)), starts + 1, lengths[at] - 1)] = False
-            ids = ids[keep]
-            lengths = np.where(which >= 0, 1, lengths)
+            ids, lengths = _with_controls(ids, lengths, at, control_ids[which[at]])
         per_part = _offsets(lengths)
         per_row = _offsets(_list_lengths(batch))
         return pa.ListArray.from_arrays(pa.array(per_part[per_row]), pa.array(ids))
@@ -160,34 +148,97 @@ def _encode_bytes(parts: Column, vocabulary: Vocabulary) -> Column:
     return F.arrow_udf(encode, "array<int>")(parts)
 
 
+class _Merger:
+    """Applies merges to many pieces at once: in each round every piece merges its lowest-ranked
+    pair, until no piece has one left."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.size = vocabulary.size
+        merges = np.array(vocabulary.merges, dtype=np.int64).reshape(-1, 3)
+        keys = merges[:, 0] * self.size + merges[:, 1]
+        self.merged = merges[:, 2]
+        # A merge that is a second way to write a token may enable earlier merges, so it is applied
+        # one place at a time, leftmost first.
+        first_rank = np.full(self.size, len(merges), dtype=np.int64)
+        np.minimum.at(first_rank, self.merged, np.arange(len(merges)))
+        self.again = first_rank[self.merged] < np.arange(len(merges))
+        self.none = len(merges)
+        if self.size <= DENSE_VOCAB:
+            self.table = np.full(self.size * self.size, self.none, dtype=np.int64)
+            self.table[keys] = np.arange(len(merges))
+        else:
+            self.table, self.order = None, np.argsort(keys)
+            self.keys = keys[self.order]
+
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = left * self.size + right
+        if self.table is not None:
+            return self.table[keys]
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.order[at], self.none)
+
+    def __call__(self, ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        piece = np.arange(len(lengths))
+        while len(ids):
+            starts = np.cumsum(lengths) - lengths
+            owner = np.repeat(np.arange(len(lengths)), lengths)
+            rank = np.full(len(ids), self.none, dtype=np.int64)
+            rank[:-1] = np.where(owner[:-1] == owner[1:], self.ranks(ids[:-1], ids[1:]), self.none)
+            best = np.minimum.reduceat(rank, starts)
+            active = best < self.none
+            if not active.all():
+                done.append((piece[~active], lengths[~active], ids[~active[owner]]))
+                inside = active[owner]
+                ids, rank, lengths, piece, best = (
+                    ids[inside], rank[inside], lengths[active], piece[active], best[active])
+                if not len(ids):
+                    break
+                starts = np.cumsum(lengths) - lengths
+                owner = np.repeat(np.arange(len(lengths)), lengths)
+            hit = rank == best[owner]
+            place = np.arange(len(ids))
+            # In a run of overlapping hits every other one counts, from the left.
+            begins = hit & ~np.concatenate([[False], hit[:-1]])
+            run = np.maximum.accumulate(np.where(begins, place, 0))
+            hit &= (place - run) % 2 == 0
+            if self.again[best].any():
+                first = np.minimum.reduceat(np.where(hit, place, len(ids)), starts)
+                hit &= ~self.again[best][owner] | (place == first[owner])
+            ids = np.where(hit, self.merged[np.minimum(rank, self.none - 1)], ids)
+            keep = ~np.concatenate([[False], hit[:-1]])
+            lengths = lengths - np.add.reduceat(hit.astype(np.int64), starts)
+            ids = ids[keep]
+        order = np.argsort(np.concatenate([d[0] for d in done]), kind="stable")
+        sizes = np.concatenate([d[1] for d in done])
+        flat = np.concatenate([d[2] for d in done])
+        return _take_runs(flat, (np.cumsum(sizes) - sizes)[order], sizes[order]), sizes[order]
+
+
 def _encode_pieces(parts: Column, vocabulary: Vocabulary) -> Column:
-    """Ids of texts cut into pieces; each task encodes a distinct piece once and reuses it."""
-    ranks = vocabulary.ranks()
-    specials = dict(vocabulary.specials)
-    base = byte_ids()
-    memo: dict[str, list[int]] = {}
+    """Ids of texts cut into pieces; each distinct piece of a batch is encoded once."""
+    controls = pa.array(list(vocabulary.specials), type=pa.string())
+    control_ids = np.array(list(vocabulary.specials.values()), dtype=np.int64)
+    base = np.array(byte_ids(), dtype=np.int64)
+    merger = _Merger(vocabulary)
 
     def encode(batch: pa.Array) -> pa.Array:
         flat = batch.flatten().dictionary_encode()
-        if len(memo) > MEMO_SIZE:
-            memo.clear()
-        encoded = []
-        for piece in flat.dictionary.to_pylist():
-            ids = memo.get(piece)
-            if ids is None:
-                if piece in specials:
-                    ids = [specials[piece]]
-                else:
-                    ids = merge_piece([base[b] for b in piece.encode("utf-8")], ranks)
-                memo[piece] = ids
-            encoded.append(ids)
-        widths = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded))
-        distinct = np.fromiter(chain.from_iterable(encoded), dtype=np.int32)
+        if len(flat) == 0:
+            return pa.array([[]] * len(batch), type=pa.list_(pa.int32()))
+        which = pc.fill_null(pc.index_in(flat.dictionary, controls), -1).to_numpy(
+            zero_copy_only=False)
+        raw, lengths = _string_bytes(flat.dictionary)
+        ids = base[raw]
+        at = np.flatnonzero(which >= 0)
+        if len(at):
+            ids, lengths = _with_controls(ids, lengths, at, control_ids[which[at]])
+        ids, lengths = merger(ids, lengths)
         codes = flat.indices.to_numpy(zero_copy_only=False)
-        lengths = widths[codes]
-        ids = _take_runs(distinct, (np.cumsum(widths) - widths)[codes], lengths)
+        out = _take_runs(ids, (np.cumsum(lengths) - lengths)[codes], lengths[codes])
         per_row = _offsets(_list_lengths(batch))
-        return pa.ListArray.from_arrays(pa.array(_offsets(lengths)[per_row]), pa.array(ids))
+        return pa.ListArray.from_arrays(pa.array(_offsets(lengths[codes])[per_row]),
+                                        pa.array(out.astype(np.int32)))
 
     return F.arrow_udf(encode, "array<int>")(parts)
 

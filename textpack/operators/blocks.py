@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from textpack.constants import EOS_TOKEN, INSTRUCTION_PREFIXES, STORY_PREFIX
 from textpack.functions.text import collapse_ws, py_strip
-from textpack.operators.ordering import KEY_WIDTH, key_buckets, running, with_previous
+from textpack.operators.ordering import (
+    CHUNK_WIDTH,
+    chunk_buckets,
+    running,
+    with_previous,
+)
 
 
 def _starts_with_any(text: Column, prefixes: list[str]) -> Column:
@@ -17,7 +22,7 @@ def _starts_with_any(text: Column, prefixes: list[str]) -> Column:
     return hit
 
 
-def classify_lines(lines: DataFrame, width: int = KEY_WIDTH) -> DataFrame:
+def classify_lines(lines: DataFrame, width: int = CHUNK_WIDTH) -> DataFrame:
     """Per line (src, line_no, line): its block, whether that block is closed, and its part.
 
     ``part`` is ``user`` or ``assistant`` for text that belongs to the pair, ``end`` for the
@@ -28,7 +33,7 @@ def classify_lines(lines: DataFrame, width: int = KEY_WIDTH) -> DataFrame:
     cleaned = lines.select(
         "src", "line_no", "line", py_strip(F.coalesce(F.col("line"), F.lit(""))).alias("_text"))
     placed = running(
-        cleaned, "line_no", key_buckets("line_no", width), ["src"],
+        cleaned, "line_no", chunk_buckets("line_no", width), ["src"],
         sums={"block": is_end.cast("long")},
         maxes={"_last_end": F.when(is_end, F.col("line_no")),
                "_last_story": F.when(is_story, F.col("line_no"))},
@@ -68,7 +73,7 @@ def assemble_blocks(classified: DataFrame) -> DataFrame:
     return pairs.where((F.col("user") != "") & (F.col("assistant") != ""))
 
 
-def parse_blocks(lines: DataFrame, width: int = KEY_WIDTH) -> DataFrame:
+def parse_blocks(lines: DataFrame, width: int = CHUNK_WIDTH) -> DataFrame:
     """Line stream (src, line_no, line) into pairs (src, end_line, user, assistant).
 
     ``width`` is how many line numbers one task handles at a time.
@@ -85,7 +90,7 @@ def open_lines(classified: DataFrame) -> DataFrame:
     ).select("src", "line_no", "line")
 
 
-def pair_turns(turns: DataFrame, width: int = KEY_WIDTH) -> DataFrame:
+def pair_turns(turns: DataFrame, width: int = CHUNK_WIDTH) -> DataFrame:
     """A user turn directly followed by an assistant turn becomes a pair.
 
     Input (conv_id, turn, role, text); output (conv_id, turn, user, assistant) where ``turn`` is

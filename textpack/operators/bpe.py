@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textpack.constants import BASE_VOCAB_SIZE, SYMBOL_BASE
@@ -26,19 +26,19 @@ def with_symbols(counts: DataFrame) -> DataFrame:
     return counts.select("piece", "n", byte_symbols("piece").alias("symbols"))
 
 
-def adjacent_pairs(symbols: Column | str) -> Column:
-    """Every two neighbouring symbols, as two-character strings."""
-    chars = F.split(symbols, "")
-    inner = F.size(chars) - 1
-    return F.zip_with(F.slice(chars, F.lit(1), inner), F.slice(chars, F.lit(2), inner),
-                      lambda a, b: F.concat(a, b))
-
-
 def symbol_pair_counts(symbols: DataFrame) -> DataFrame:
-    """Frequency of each neighbouring pair, weighted by the piece counts, as (pair, n)."""
+    """Frequency of each two neighbouring symbols, weighted by the piece counts, as (pair, n).
+
+    A symbol is four bytes of UTF-8, so a pair is cut out of the bytes at a known place; the whole
+    step up to the map-side counts is one generated stage.
+    """
+    width = len(chr(SYMBOL_BASE).encode("utf-8"))
+    raw = F.col("symbols").cast("binary")
+    places = F.sequence(F.lit(0), F.char_length("symbols") - 2)
     return symbols.where(F.char_length("symbols") > 1).select(
-        F.explode(adjacent_pairs("symbols")).alias("pair"), "n"
-    ).groupBy("pair").agg(F.sum("n").alias("n"))
+        raw.alias("raw"), "n", F.explode(places).alias("i")
+    ).groupBy(F.substring("raw", F.col("i") * width + 1, F.lit(2 * width)).alias("pair")).agg(
+        F.sum("n").alias("n")).select(F.col("pair").cast("string").alias("pair"), "n")
 
 
 def pair_counts(symbols: DataFrame) -> DataFrame:

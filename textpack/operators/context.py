@@ -9,14 +9,20 @@ from pyspark.sql.window import Window
 from textpack.constants import CONTEXT_LENGTH, END_TOKEN
 from textpack.functions.text import py_strip, render_chat, render_open_prompt
 from textpack.functions.tokens import encode_ids
-from textpack.operators.ordering import KEY_WIDTH, key_buckets, running, with_previous
+from textpack.operators.ordering import (
+    CHUNK_WIDTH,
+    chunk_buckets,
+    running,
+    with_previous,
+)
 from textpack.operators.vocabulary import Vocabulary
+from textpack.session import materialize
 
 # Token positions handled by one task, in context lengths.
 CONTEXTS_PER_TASK = 1024
 
 
-def chat_segments(turns: DataFrame, width: int = KEY_WIDTH) -> DataFrame:
+def chat_segments(turns: DataFrame, width: int = CHUNK_WIDTH) -> DataFrame:
     """One row per user turn: (conv_id, turn, user, reply_turn, assistant); the last two are null
     when no reply follows. Blank user turns and system turns do not count.
     """
@@ -31,7 +37,7 @@ def chat_segments(turns: DataFrame, width: int = KEY_WIDTH) -> DataFrame:
         reply["text"].alias("assistant"))
 
 
-def place_turns(turns: DataFrame, vocabulary: Vocabulary, width: int = KEY_WIDTH) -> DataFrame:
+def place_turns(turns: DataFrame, vocabulary: Vocabulary, width: int = CHUNK_WIDTH) -> DataFrame:
     """Encode each user turn and its pair, and lay the pairs of a conversation end to end.
 
     Adds pair_ids, prompt_ids, pair_len, start and conv_len to the segments.
@@ -46,7 +52,9 @@ def place_turns(turns: DataFrame, vocabulary: Vocabulary, width: int = KEY_WIDTH
         "pair_ids", F.when(replied, F.concat("prompt_ids", "reply_ids", F.array(F.lit(end_id))))
     ).drop("reply_ids").withColumn(
         "pair_len", F.when(replied, F.size("pair_ids")).otherwise(0))
-    return running(encoded, "turn", key_buckets("turn", width), ["conv_id"],
+    # The lengths are read several times, the ids once.
+    encoded = materialize(encoded, "turns")
+    return running(encoded, "turn", chunk_buckets("turn", width), ["conv_id"],
                    sums={"start": F.col("pair_len").cast("long")}, totals={"conv_len": "start"})
 
 
@@ -79,7 +87,7 @@ def with_history(placed: DataFrame, payload: Column,
 
 
 def chat_context(turns: DataFrame, vocabulary: Vocabulary,
-                 context_length: int = CONTEXT_LENGTH, width: int = KEY_WIDTH) -> DataFrame:
+                 context_length: int = CONTEXT_LENGTH, width: int = CHUNK_WIDTH) -> DataFrame:
     """Per user turn the ids a model would be shown: (conv_id, turn, n_pairs, ids)."""
     return context_of(place_turns(turns, vocabulary, width), context_length)
 
@@ -97,7 +105,7 @@ def context_of(placed: DataFrame, context_length: int = CONTEXT_LENGTH) -> DataF
 
 
 def render_transcript(turns: DataFrame, vocabulary: Vocabulary,
-                      context_length: int = CONTEXT_LENGTH, width: int = KEY_WIDTH) -> DataFrame:
+                      context_length: int = CONTEXT_LENGTH, width: int = CHUNK_WIDTH) -> DataFrame:
     """Per user turn the transcript of the history still held, plus the open prompt, as text."""
     placed = place_turns(turns, vocabulary, width)
     framed = with_history(placed, render_chat("user", "assistant"), context_length)

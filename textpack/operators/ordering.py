@@ -18,9 +18,11 @@ from textpack.constants import SEED, VAL_FRACTION
 
 # Four hex digits: at most 65,536 buckets, so the bucket table has a fixed size bound.
 HASH_DIGITS = 4
-# Rows per bucket, and buckets per group of buckets, for integer keys.
-KEY_WIDTH = 1024
+# Rows per bucket, and buckets per group of buckets, for the integer keys of a whole table.
+KEY_WIDTH = 64
 GROUP_WIDTH = 4096
+# Rows per chunk of one source or conversation; few have more than one chunk.
+CHUNK_WIDTH = 1 << 16
 # Up to this many rows a limit is one bounded top-n; beyond it rows are ranked in place.
 TOP_N_ROWS = 10_000
 
@@ -42,6 +44,12 @@ def key_buckets(key: Column | str, width: int = KEY_WIDTH) -> list[Column]:
     return [F.floor(key / F.lit(width)), F.floor(key / F.lit(width * GROUP_WIDTH))]
 
 
+def chunk_buckets(key: Column | str, width: int = CHUNK_WIDTH) -> list[Column]:
+    """Chunks of ``width`` consecutive keys within one source or conversation."""
+    key = F.col(key) if isinstance(key, str) else key
+    return [F.floor(key / F.lit(width))]
+
+
 def running(
     df: DataFrame,
     order: Column | str,
@@ -181,7 +189,7 @@ def limit_n(df: DataFrame, key: str, n: int, width: int = KEY_WIDTH) -> DataFram
 
 
 def with_previous(df: DataFrame, partition: str, order: str, columns: list[str],
-                  width: int = KEY_WIDTH) -> DataFrame:
+                  width: int = CHUNK_WIDTH) -> DataFrame:
     """Add ``previous``, the given columns of the row before, per partition.
 
     Partitions are cut into chunks of ``width`` keys, so a partition holding a large share of all

@@ -22,7 +22,7 @@ from textpack.constants import CONTEXT_LENGTH, MAX_CHAT_TOKENS
 from textpack.operators.blocks import assemble_blocks, classify_lines, open_lines
 from textpack.operators.clean import Counter, format_pairs, piece_counter
 from textpack.operators.context import context_of, place_turns, retained_turns
-from textpack.operators.ordering import KEY_WIDTH
+from textpack.operators.ordering import CHUNK_WIDTH
 from textpack.operators.vocabulary import Vocabulary
 
 Step = Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
@@ -76,7 +76,7 @@ def run_with_carry(stream: DataFrame, step: Step, out: str, checkpoint: str) ->
 
 
 def stream_parse_blocks(lines: DataFrame, out: str, checkpoint: str,
-                        width: int = KEY_WIDTH) -> StreamingQuery:
+                        width: int = CHUNK_WIDTH) -> StreamingQuery:
     """Parse a stream of lines (src, line_no, line); the carried state is the open block."""
 
     def step(carried: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -89,7 +89,7 @@ def stream_parse_blocks(lines: DataFrame, out: str, checkpoint: str,
 
 def stream_chat_context(turns: DataFrame, vocabulary: Vocabulary, out: str, checkpoint: str,
                         context_length: int = CONTEXT_LENGTH,
-                        width: int = KEY_WIDTH) -> StreamingQuery:
+                        width: int = CHUNK_WIDTH) -> StreamingQuery:
     """Context of every user turn in a stream (conv_id, turn, role, text).
 
     The carried state is the pairs that may still fit, at most C tokens per conversation, and the
