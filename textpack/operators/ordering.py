@@ -102,7 +102,7 @@ def running(
     for i in range(len(levels) - 2, -1, -1):
         keys = [*partition, *levels[i + 1:]]
         window = Window.partitionBy(*keys).orderBy(levels[i])
-        bases = tables[i].join(bases, keys).select(
+        bases = tables[i].join(bases, keys, "left").select(
             *partition, *levels[i:],
             *[add(out, F.col(out), before(out, F.col(local[out]), window)).alias(out)
               for out in outs],
@@ -111,7 +111,9 @@ def running(
     keys = [*partition, *levels]
     window = Window.partitionBy(*keys).orderBy(order)
     base_names = {out: f"_base_{out}" for out in outs}
-    placed = rows.join(bases.withColumnsRenamed(base_names), keys)
+    # Every bucket is in ``bases``. As an outer join only that side may be broadcast, and only when
+    # its size at run time allows; the rows never are.
+    placed = rows.join(bases.withColumnsRenamed(base_names), keys, "left")
     # All window columns in one select, so they share one sort.
     return placed.select(
         *[F.col(c) for c in df.columns],
@@ -174,7 +176,7 @@ def split_and_place(encoded: DataFrame, row_id: list[str], fraction: float = VAL
         F.coalesce(F.sum("n_tokens"), F.lit(0))).scalar()
     own = F.col("start") - F.when(F.col("split") == "train", val_tokens).otherwise(0)
     places = placed.select(*row_id, "position", "split", own.alias("start"))
-    return encoded.join(places, row_id)
+    return encoded.join(places, row_id, "left")
 
 
 def limit_n(df: DataFrame, key: str, n: int, width: int = KEY_WIDTH) -> DataFrame:

@@ -46,11 +46,13 @@ def pack_blocks(placed: DataFrame, context_length: int = CONTEXT_LENGTH,
 
     shares = placed.where(F.size("ids") > 0).select(
         *partition, F.explode(F.transform(F.sequence(first_block, last_block), share)).alias("s"))
-    grouped = shares.select(*partition, "s.block_id", F.struct("s.lo", "s.ids").alias("s")).groupBy(
-        *partition, "block_id").agg(F.array_sort(F.collect_list("s")).alias("shares"))
+    grouped = shares.select(
+        *partition, "s.block_id", F.struct("s.lo", "s.ids").alias("s"), F.size("s.ids").alias("n")
+    ).groupBy(*partition, "block_id").agg(
+        F.array_sort(F.collect_list("s")).alias("shares"), F.sum("n").alias("n"))
     tokens = F.flatten(F.transform("shares", lambda s: s["ids"]))
-    return grouped.select(*partition, "block_id", tokens.alias("tokens")).where(
-        F.size("tokens") == c + 1)
+    return grouped.where(F.col("n") == c + 1).select(
+        *partition, "block_id", tokens.alias("tokens"))
 
 
 def xy_shift(blocks: DataFrame, context_length: int = CONTEXT_LENGTH) -> DataFrame:

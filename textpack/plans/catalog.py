@@ -35,7 +35,7 @@ from textpack.operators import (
 from textpack.operators.vocabulary import Vocabulary
 from textpack.plans import inputs
 from textpack.plans.chat import encode_chat, pack_chat
-from textpack.plans.corpus import encode_corpus, pack_corpus
+from textpack.plans.corpus import pack_corpus
 from textpack.session import materialize, scratch_path
 from textpack.sources import io
 from textpack.streaming import jobs
@@ -61,7 +61,7 @@ PAIR_ID = ["conv_id", "turn"]
 
 def spell(ids: Column | str) -> Column:
     ids = F.col(ids) if isinstance(ids, str) else ids
-    return F.array_join(ids.cast("array<string>"), " ")
+    return ids.cast("string")
 
 
 def _learn(spark: SparkSession, folder: str) -> Vocabulary:

@@ -15,23 +15,25 @@ from textpack.operators.vocabulary import Vocabulary
 from textpack.session import materialize
 
 
-def encode_corpus(rows: DataFrame, key: str, vocabulary: Vocabulary,
-                  max_rows: int | None = None) -> DataFrame:
-    """Usable stories as (key, ids, n_tokens), each closed by EOS."""
+def place_corpus(rows: DataFrame, key: str, vocabulary: Vocabulary, width: int = KEY_WIDTH,
+                 max_rows: int | None = None) -> DataFrame:
+    """Usable stories as (key, ids, start), each closed by EOS, placed in key order."""
     stories = usable_stories(rows, key, max_rows=max_rows)
+    order, buckets = F.col(key), key_buckets(key, width)
     if vocabulary.merges:
-        # Lengths are needed before ids can be placed; encode once and keep the result.
-        return materialize(encode_rows(stories, vocabulary, append_eos=True), "encoded")
-    # Byte tokens are counted without being built.
-    ids = F.array_append(encode_ids("text", vocabulary), F.lit(vocabulary.eos_id))
+        # Lengths are only known once encoded, so encode once and keep the result.
+        encoded = materialize(encode_rows(stories, vocabulary, append_eos=True), "encoded")
+        return place_in_stream(encoded, order, buckets)
+    # Byte tokens are counted without being built: the text is placed, and a byte per token moves
+    # through the shuffle instead of four.
     n_tokens = byte_count("text", list(vocabulary.specials)) + 1
-    return stories.select(key, ids.alias("ids"), n_tokens.alias("n_tokens"))
+    placed = place_in_stream(stories.withColumn("n_tokens", n_tokens), order, buckets)
+    ids = F.array_append(encode_ids("text", vocabulary), F.lit(vocabulary.eos_id))
+    return placed.select(key, ids.alias("ids"), "start")
 
 
 def pack_corpus(rows: DataFrame, key: str, vocabulary: Vocabulary,
                 context_length: int = CONTEXT_LENGTH, width: int = KEY_WIDTH,
                 max_rows: int | None = None) -> DataFrame:
     """Stories in key order as blocks (block_id, tokens)."""
-    encoded = encode_corpus(rows, key, vocabulary, max_rows)
-    placed = place_in_stream(encoded, F.col(key), key_buckets(key, width))
-    return pack_blocks(placed, context_length)
+    return pack_blocks(place_corpus(rows, key, vocabulary, width, max_rows), context_length)

@@ -102,7 +102,7 @@ def byte_ids(t: str) -> str:
 
 
 def spell(ids: str) -> str:
-    return f"array_to_string({ids}, ' ')"
+    return f"({ids})::VARCHAR"
 
 
 # --- shared tables -------------------------------------------------------------------------
@@ -307,8 +307,8 @@ def statements() -> dict[str, str]:
     parsed = (f"WITH {PARSED} SELECT src, end_line, \"user\", assistant FROM parsed"
               " WHERE \"user\" <> '' AND assistant <> ''")
     contexts = f"""WITH {CONTEXTS} SELECT p.conv_id, p.turn, coalesce(n_pairs, 0) AS n_pairs,
-  array_to_string(coalesce(h.ids, []) || CASE WHEN len(p.ids) > {C.CHAT_CONTEXT}
-    THEN p.ids[len(p.ids) - {C.CHAT_CONTEXT} + 1:] ELSE p.ids END, ' ') AS ids
+  (coalesce(h.ids, []) || CASE WHEN len(p.ids) > {C.CHAT_CONTEXT}
+    THEN p.ids[len(p.ids) - {C.CHAT_CONTEXT} + 1:] ELSE p.ids END)::VARCHAR AS ids
 FROM prompts p LEFT JOIN history h USING (conv_id, turn)"""
     totals = """SELECT split, count(*) AS conversations, sum(n_tokens)::BIGINT AS tokens
 FROM split GROUP BY split"""
@@ -357,7 +357,7 @@ FROM prompts p LEFT JOIN history h USING (conv_id, turn)""",
 FROM documents""",
         "strip_eos_text": f"SELECT doc_id, {strip(f'''replace(text || ' ', {q(EOS_TOKEN)}, '')''')}"
                           " AS text FROM documents",
-        "seed_empty_prompt": f"""SELECT doc_id, CASE WHEN p = '' THEN '0' ELSE
+        "seed_empty_prompt": f"""SELECT doc_id, CASE WHEN p = '' THEN '[0]' ELSE
   {spell(byte_ids('p'))} END AS ids
 FROM (SELECT doc_id, regexp_extract(text, '[0-9]+') AS p FROM documents)""",
         "pretokenize": f"""SELECT doc_id, len(p) AS n_pieces, array_to_string(p, {UNIT}) AS pieces
