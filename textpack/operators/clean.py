@@ -29,6 +29,14 @@ def bpe_counter(vocabulary: Vocabulary) -> Counter:
     return lambda text: F.size(encode_ids(text, vocabulary))
 
 
+def computed_once(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add or replace columns so that a later filter on them reads the result. Added by a plain
+    projection, their expressions would be copied into the filter and evaluated again there."""
+    others = [c for c in rows.columns if c not in columns]
+    cell = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return rows.select(*others, F.inline(F.array(cell)))
+
+
 def usable_stories(rows: DataFrame, key: str, text: str = "text",
                    max_rows: int | None = None) -> DataFrame:
     """Stripped, non-empty stories as (key, text); optionally the first ``max_rows`` of them."""
@@ -47,7 +55,7 @@ def synth_user_turn(rows: DataFrame, key: str, text: str = "text",
 
 def clean_pairs(pairs: DataFrame) -> DataFrame:
     """Collapse whitespace in both turns; null becomes empty."""
-    return pairs.withColumns({"user": clean("user"), "assistant": clean("assistant")})
+    return computed_once(pairs, {"user": clean("user"), "assistant": clean("assistant")})
 
 
 def drop_empty_turns(pairs: DataFrame) -> DataFrame:
@@ -78,14 +86,14 @@ def with_drop_reason(pairs: DataFrame, counter: Counter = piece_counter,
 
 def english_pairs(pairs: DataFrame) -> DataFrame:
     """Pairs with two non-empty turns that look English, rendered as ``line``."""
-    rendered = drop_empty_turns(pairs).withColumn("line", render_chat("user", "assistant"))
+    rendered = computed_once(drop_empty_turns(pairs), {"line": render_chat("user", "assistant")})
     return rendered.where(looks_english("line")).drop("user", "assistant")
 
 
 def format_pairs(pairs: DataFrame, counter: Counter = piece_counter,
                  max_tokens: int = MAX_CHAT_TOKENS) -> DataFrame:
     """Kept conversations with their rendered line and token count. Also valid on a stream."""
-    counted = english_pairs(pairs).withColumn("n_tokens", counter(F.col("line")))
+    counted = computed_once(english_pairs(pairs), {"n_tokens": counter(F.col("line"))})
     return token_length_filter(counted, max_tokens)
 
 
