@@ -253,7 +253,7 @@ def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
 
 def decode(encoded: DataFrame, tokenizer: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """Texts of token ids as ``(key, text)``; bytes that aren't UTF-8 become U+FFFD."""
-    schema = encoded.select(key).schema.add("text", "string")
+    schema = schema_with(encoded.select(key), "text string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = coder(tokenizer).vocabulary
@@ -276,8 +276,7 @@ def comma_joined(vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.nda
 def digests(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Encode and decode each text, and return digests of both: ``n_tokens, ids_sha256,
     decoded_sha256``. Ids never leave the task, so the result is small whatever the texts are."""
-    schema = (docs.select(key).schema.add("n_tokens", "long").add("ids_sha256", "string")
-              .add("decoded_sha256", "string"))
+    schema = schema_with(docs.select(key), "n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(tokenizer)

@@ -19,8 +19,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from textpack.llm.words import buffers_of, hash_runs, mix, slices, word_spans
+from textpack.llm.words import buffers_of, hash_runs, mix, schema_with, slices, word_spans
 
 #: Words of items that one pass over the texts holds; a larger benchmark takes several passes.
 PASS_WORDS = 2_000_000
@@ -243,8 +244,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     those under ``LEAST_WORDS`` words are not searched for. Texts aren't shuffled: each pass broadcasts the
     keys of at most about ``PASS_WORDS`` words of items, however many there are.
     """
-    schema = (docs.select(key).schema.add(benchmark.select(F.col(item).alias("item_id")).schema[0])
-              .add("start", "long").add("end", "long").add("edits", "int"))
+    kind = benchmark.schema[item].dataType
+    schema = schema_with(docs.select(key), f"item_id {kind.simpleString()}, start bigint, end bigint, edits int")
     rows = docs.select(key, text)
     found = None
     for names, searcher in _searchers(benchmark, item, item_text, share, recall, sampled):
@@ -259,7 +260,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
                     if matches:
                         row, k, begin, stop, edits = zip(*matches)
                         yield pa.RecordBatch.from_arrays(
-                            [keys.take(pa.array(row)), pa.array([names[i] for i in k], batch_type(schema)),
+                            [keys.take(pa.array(row)), pa.array([names[i] for i in k], to_arrow_type(kind)),
                              pa.array(begin, pa.int64()), pa.array(stop, pa.int64()), pa.array(edits, pa.int32())],
                             names=schema.names)
 
@@ -268,13 +269,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     return found if found is not None else docs.sparkSession.createDataFrame([], schema)
 
 
-def batch_type(schema) -> pa.DataType:
-    """Arrow type of the item column."""
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(schema["item_id"].dataType)
-
-
 def without_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """Rows of ``docs`` in which no benchmark item is found. Rows of one key go or stay together; of rows
     without a key, all go if one has a leak."""

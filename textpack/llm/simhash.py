@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textpack.llm.components import connect
-from textpack.llm.words import texts_of
+from textpack.llm.words import schema_with, texts_of
 from textpack.session import materialize
 
 SEED, RADIUS = 42, 2
@@ -47,7 +47,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shing
                  seed: int = SEED) -> DataFrame:
     """``(key, fp)``: the fingerprint of each row as a signed 64-bit number. A null, empty or blank
     text has no shingle and fingerprint zero; a text shorter than a shingle is one shingle."""
-    schema = docs.select(key).schema.add("fp", "long")
+    schema = schema_with(docs.select(key), "fp bigint")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -16,9 +16,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textpack.llm.words import schema_with
 from textpack.session import scratch_root
 
 MAGIC = b"TPRULES1"
@@ -129,13 +130,13 @@ def mapped(address: str) -> RuleArray:
     return _mapped[address]
 
 
-def split_url(url):
-    """Host and path columns of a URL column.
+def split_url(url: Column) -> tuple[Column, Column]:
+    """Host and path of a URL.
 
     Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; path: then up
     to ``?``, ``#`` or the end. A null URL or one without ``://`` has neither: both are empty.
     """
-    rest = F.when(F.instr(url, "://") > 0, F.expr("substring({u}, instr({u}, '://') + 3)".format(u="url")))
+    rest = F.when(F.instr(url, "://") > 0, F.substring(url, F.instr(url, "://") + 3, F.length(url)))
     host = F.regexp_extract(F.coalesce(rest, F.lit("")), r"(?s)^([^/?#]*)", 1)
     path = F.regexp_extract(F.coalesce(rest, F.lit("")), r"(?s)^[^/?#]*([^?#]*)", 1)
     return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), path
@@ -152,7 +153,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]], default: str
     columns = pages.select(F.col(key), F.col(url).alias("url"))
     host, path = split_url(F.col("url"))
     split = columns.select(key, host.alias("host"), path.alias("path"))
-    schema = split.schema.add("rule", "string").add("verdict", "string")
+    schema = schema_with(split, "rule string, verdict string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         array = mapped(address)
