@@ -1,68 +1,84 @@
 import random
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from textpack.operators import blocks
 
 END = "<|endoftext|>"
-LINES = [
-    END, f"  {END} ", f"x {END}", "Story:", "Story: Once  upon", " Story:\tlate", "Features: a",
-    "Words: b, c", "Summary:  d ", "stray", "", None, "\x1c", "ordinary  text", "Story:Story: twice",
-    "\x85Summary: e\x85", "﻿Story: bom", "story: lower",
-]
-
-
-def line_by_line(lines):
-    """The rules of the format, one line at a time."""
-    out, asked, told, telling = [], [], [], False
-    for number, raw in lines:
-        line = (raw or "").strip()
-        if line == END:
-            if asked and told:
-                out.append((number, " ".join(" ".join(asked).split()),
-                            " ".join(" ".join(told).split())))
-            asked, told, telling = [], [], False
-        elif line[:6] == "Story:":
-            telling = True
-            told += [line[6:].strip()] if line[6:].strip() else []
-        elif telling:
-            told += [line] if line else []
-        elif any(line.startswith(p) for p in ("Features:", "Words:", "Summary:")):
-            asked.append(line)
-    return out
-
-
-@pytest.mark.parametrize("width", [1, 7, 1 << 16])
+SCHEMA = "src string, line_no long, line string"
+
+# What each file holds, and the pairs expected from it as (closing line, request, story).
+FILES = {
+    "plain": (["Summary: a fox", "Story: Once", "upon", END], [(3, "Summary: a fox", "Once upon")]),
+    "padded end": (["Words: x", "Story: y", f"  {END} "], [(2, "Words: x", "y")]),
+    "text before the end token": (["Words: x", "Story: y", f"z {END}", END], [(3, "Words: x", f"y z {END}")]),
+    "story line without text": (["Features: Twist", "Story:", "it began", END], [(3, "Features: Twist", "it began")]),
+    "two story lines": (["Words: x", "Story: one", "Story: two", END], [(3, "Words: x", "one two")]),
+    "prefix inside a story": (["Words: x", "Story: one", "Words: in it", END], [(3, "Words: x", "one Words: in it")]),
+    "prefix twice in a line": (["Words: x", "Story:Story: y", END], [(2, "Words: x", "Story: y")]),
+    "several requests": (["Features: F", "Words: a, b", "Summary: s", "Story: t", END],
+                         [(4, "Features: F Words: a, b Summary: s", "t")]),
+    "stray lines": (["stray", "Words: x", "stray", "", None, "Story: y", "", None, END], [(8, "Words: x", "y")]),
+    "white space": (["  Words:\ta   b ", "\x85Story: c\x1c", " d\u00a0 e ", END], [(3, "Words: a b", "c d e")]),
+    "letter case counts": (["words: x", "story: y", END, "Words: x", "Story: y", END], [(5, "Words: x", "y")]),
+    "a mark in front counts": (["Words: x", "\ufeffStory: y", END], []),
+    "request alone": (["Words: x", END], []),
+    "story alone": (["Story: y", END], []),
+    "end alone": ([END, END], []),
+    "no end": (["Words: x", "Story: y"], []),
+    "unclosed tail": (["Words: x", "Story: y", END, "Words: z", "Story: lost"], [(2, "Words: x", "y")]),
+    "two blocks": (["Words: x", "Story: y", END, "Words: z", "Story: w", END],
+                   [(2, "Words: x", "y"), (5, "Words: z", "w")]),
+}
+
+
+@pytest.mark.parametrize("width", [1, 2, 1 << 16])
 def test_parse_blocks(spark, width):
-    rng = random.Random(width)
-    rows = []
-    for src, n in (("hot", 2500), ("b", 200), ("c", 1), ("none", 40)):
-        choices = LINES if src != "none" else [x for x in LINES if (x or "").strip() != END]
-        rows += [(src, 3 * i, rng.choice(choices)) for i in range(n)]
-    df = spark.createDataFrame(rows, "src string, line_no long, line string").repartition(5)
-    got = sorted((r.src, r.end_line, r.user, r.assistant)
-                 for r in blocks.parse_blocks(df, width).collect())
-    want = []
-    for src in ("hot", "b", "c", "none"):
-        mine = [(n, line) for s, n, line in rows if s == src]
-        want += [(src, *p) for p in line_by_line(mine)]
-    assert len(want) > 50
-    assert got == sorted(want)
+    rows = [(name, i, line) for name, (lines, _) in FILES.items() for i, line in enumerate(lines)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    got = sorted(map(tuple, blocks.parse_blocks(df, width).collect()))
+    assert got == sorted((name, *pair) for name, (_, pairs) in FILES.items() for pair in pairs)
+
+
+def many_lines(seed, n):
+    draw = random.Random(seed)
+    every = [line for lines, _ in FILES.values() for line in lines]
+    return [(3 * i, draw.choice(every)) for i in range(n)]
+
+
+def parsed(spark, lines, width=1 << 16):
+    df = spark.createDataFrame([("s", n, line) for n, line in lines], SCHEMA)
+    return sorted((r.end_line, r.user, r.assistant) for r in blocks.parse_blocks(df, width).collect())
+
+
+def test_chunk_widths_agree(spark):
+    lines = many_lines(1, 1500)
+    whole = parsed(spark, lines)
+    assert len(whole) > 50
+    assert parsed(spark, lines, 7) == parsed(spark, lines, 1000) == whole
+
+
+def test_a_closed_file_and_the_next_one_add_up(spark):
+    first, second = [*many_lines(2, 300), (2000, END)], [(n + 3000, line) for n, line in many_lines(3, 300)]
+    assert parsed(spark, first + second) == parsed(spark, first) + parsed(spark, second)
+
+
+@given(st.integers(0, 250))
+@settings(max_examples=5, deadline=None)
+def test_what_is_not_closed_adds_nothing(spark, cut):
+    lines = many_lines(4, 250)[:cut]
+    closed = max((i for i, (_, line) in enumerate(lines) if (line or "").strip() == END), default=-1) + 1
+    assert parsed(spark, lines) == parsed(spark, lines[:closed]) if closed else parsed(spark, lines) == []
 
 
 @pytest.mark.parametrize("width", [2, 1 << 16])
 def test_pair_turns(spark, width):
-    rng = random.Random(9)
-    rows = []
-    for conv, n in ((1, 60), (2, 9), (3, 1)):
-        for turn in sorted(rng.sample(range(3 * n), n)):
-            role = rng.choice(["user", "assistant", "user", "assistant", "system"])
-            rows.append((conv, turn, role, f"{conv}-{turn}"))
+    rows = [
+        (1, 0, "system", "s"), (1, 1, "user", "a"), (1, 2, "assistant", "b"), (1, 5, "user", "c"), (1, 6, "user", "d"),
+        (1, 9, "assistant", "e"), (1, 10, "assistant", "f"), (2, 3, "user", "g"), (2, 4, "system", "h"),
+        (2, 40, "assistant", "i"), (3, 0, "assistant", "j"), (3, 1, "user", "k"), (4, 7, "user", "l")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    want = []
-    for conv in (1, 2, 3):
-        mine = [r for r in rows if r[0] == conv and r[2] != "system"]
-        want += [(conv, a[1], a[3], b[3]) for a, b in zip(mine, mine[1:])
-                 if (a[2], b[2]) == ("user", "assistant")]
-    got = [tuple(r) for r in blocks.pair_turns(df, width).collect()]
-    assert sorted(got) == sorted(want)
+    got = sorted(map(tuple, blocks.pair_turns(df, width).collect()))
+    assert got == [(1, 1, "a", "b"), (1, 6, "d", "e"), (2, 3, "g", "i")]

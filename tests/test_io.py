@@ -72,16 +72,31 @@ def test_packed_cache(spark, tmp_path):
         return made
 
     def load(n, split, force=False, **parameters):
-        rows = io.load_or_build(spark, str(tmp_path), split, build(n), force, **parameters)
+        vocabulary = parameters.pop("vocabulary", Vocabulary())
+        rows = io.load_or_build(spark, str(tmp_path), split, build(n), vocabulary, force, **parameters)
         return [r.tokens[0] for r in rows.collect()]
 
     assert load(1, "train", c=16) == [1]
     assert load(2, "validation", c=16) == [2] and calls == [1]
     assert load(5, "train", c=32) == [5] and calls == [1, 5]
     assert load(7, "train", force=True, c=16) == [7]
-    io.write_packed(build(9)(), f"{tmp_path}/chat_{io.fingerprint(c=64)}")
-    assert load(0, "validation", c=64) == [10]
-    plan = io.read_packed(spark, f"{tmp_path}/{io.fingerprint(c=16)}", "val")
+    def key(**parameters):
+        return io.fingerprint(merges=(), specials=Vocabulary().specials, **parameters)
+
+    io.write_packed(build(9)(), f"{tmp_path}/chat_{key(c=64)}")
+    assert load(3, "train", c=64, force=True) == [3]
+    io.write_packed(build(9)(), f"{tmp_path}/chat_{key(c=65)}")
+    spark.range(1).write.parquet(f"{tmp_path}/chat_{key(c=65)}.done")
+    assert load(0, "validation", c=65) == [10]
+    # A table without its mark is one whose write may have died.
+    io.write_packed(build(9)(), f"{tmp_path}/{key(c=66)}")
+    assert load(4, "train", c=66) == [4]
+    # Two vocabularies of one size.
+    merged = [Vocabulary(((a, a + 1, 257),)) for a in (5, 6)]
+    assert load(20, "train", c=16, vocabulary=merged[0]) == [20]
+    assert load(30, "train", c=16, vocabulary=merged[1]) == [30]
+    assert load(0, "train", c=16, vocabulary=merged[0]) == [20]
+    plan = io.read_packed(spark, f"{tmp_path}/{key(c=16)}", "val")
     assert "PartitionFilters: [isnotnull(split" in plan._jdf.queryExecution().executedPlan().toString()
 
 

@@ -21,7 +21,7 @@ def test_running_with_a_hot_partition(spark):
             used.add((part, k))
             rows.append((part, k, rng.choice([0, 0, 1, 7]), rng.random() < 0.1))
     df = spark.createDataFrame(rows, "p string, k long, w long, f boolean")
-    out = O.running(df, "k", O.key_buckets("k", 3), ["p"], sums={"s": F.col("w")},
+    out = O.running(df, "k", O.chunk_buckets("k", 3), ["p"], sums={"s": F.col("w")},
                     maxes={"m": F.when(F.col("f"), F.col("k"))}, totals={"t": "s"})
     got = {(r.p, r.k): (r.s, r.m, r.t) for r in out.collect()}
     assert len(got) == len(rows)
@@ -68,15 +68,39 @@ def test_split_and_place(spark):
         starts[split] += n
 
 
-def test_limit(spark, monkeypatch):
-    keys = random.Random(3).sample(range(10**6), 400)
-    df = spark.createDataFrame([(k,) for k in keys], "k long")
-    assert sorted(r.k for r in O.limit_n(df, "k", 50).collect()) == sorted(keys)[:50]
-    monkeypatch.setattr(O, "TOP_N_ROWS", 10)
-    assert sorted(r.k for r in O.limit_n(df, "k", 50).collect()) == sorted(keys)[:50]
-    assert O.limit_n(df, "k", 1000).count() == 400
+def wide_table(spark, n=10_001):
+    draw = random.Random(3)
+    rows = [(i % 300, str(draw.randrange(10**6)), int(hashlib.md5(str(i).encode()).hexdigest()[:15], 16), i) for i in range(n)]
+    return rows, spark.createDataFrame(rows, "dup long, s string, hashed long, i long").repartition(7)
+
+
+@pytest.mark.parametrize("n", [1, 37, 5000, 10_000, 20_000])
+@pytest.mark.parametrize("keys,places", [(["hashed"], [2]), (["s", "i"], [1, 3]), (["dup", "hashed"], [0, 2])])
+def test_limit_by_any_key(spark, n, keys, places):
+    rows, df = wide_table(spark)
+    picked = sorted(rows, key=lambda r: [r[p] for p in places])[:n]
+    assert sorted(map(tuple, O.limit_n(df, keys, n).collect())) == sorted(picked)
+
+
+def test_limit_by_a_struct_and_with_ties(spark):
+    rows, df = wide_table(spark)
+    pairs = df.select(F.struct("dup", "i").alias("k"))
+    assert sorted(r.k.i for r in O.limit_n(pairs, "k", 40).collect()) == sorted(r[3] for r in sorted(rows, key=lambda r: (r[0], r[3]))[:40])
+    found = [sorted(map(tuple, O.limit_n(d, "dup", 100).collect())) for d in (df, df.repartition(3))]
+    assert found[0] == found[1] and sorted(r[0] for r in found[0]) == sorted(r[0] for r in rows)[:100]
     with pytest.raises(ValueError):
-        O.limit_n(df, "k", 0)
+        O.limit_n(df, "dup", 0)
+
+
+def test_ranges_are_few_and_offsets_exact_for_hashed_keys(spark):
+    rows, df = wide_table(spark)
+    ranged = O.in_ranges(df.select("hashed", "i"), "hashed")
+    assert ranged.select(O.RANGE).distinct().count() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = O.global_offset(ranged, F.col("i"), "hashed", O.range_buckets()).collect()
+    total = 0
+    for r in sorted(placed, key=lambda r: r.hashed):
+        assert r.start == total
+        total += r.i
 
 
 @pytest.mark.parametrize("width", [1, 3, 1000])
@@ -97,8 +121,7 @@ def test_previous_row_across_chunks(spark, width):
 def test_concatenation_order(spark):
     a = spark.createDataFrame([(9, 2), (1, 3)], "key long, n long")
     b = spark.createDataFrame([(4, 5), (0, 1)], "key long, n long")
-    whole = O.union_in_order([a, b])
-    out = O.running(whole, F.struct("part", "key"), O.part_buckets("part", "key", 2),
-                    sums={"start": F.col("n")})
+    whole = O.in_ranges(O.union_in_order([a, b]), "part", "key")
+    out = O.running(whole, F.struct("part", "key"), O.range_buckets(), sums={"start": F.col("n")})
     assert sorted((r.part, r.key, r.start) for r in out.collect()) == [
         (0, 1, 0), (0, 9, 3), (1, 0, 5), (1, 4, 6)]

@@ -15,7 +15,7 @@ def place(spark, lengths):
     ids = [[rng.randrange(1000) for _ in range(n)] for n in lengths]
     df = spark.createDataFrame(list(enumerate(ids)), "k long, ids array<int>").withColumn(
         "n_tokens", F.size("ids"))
-    return sum(ids, []), pack.place_in_stream(df, F.col("k"), ordering.key_buckets("k", 2))
+    return sum(ids, []), pack.place_in_stream(df, F.col("k"), ordering.chunk_buckets("k", 2) + [F.lit(0)])
 
 
 @pytest.mark.parametrize("c", [1, 4, 7])
@@ -51,6 +51,21 @@ def test_batch_plan(spark, n, batch, accum):
     assert n < 9 or orders[0] != orders[1]
 
 
+def test_blocks_are_counted_from_lengths(spark):
+    for lengths, n in (([], 0), ([1], 0), ([4, 5], 2), ([9], 2), ([0, 8], 1)):
+        df = spark.createDataFrame([(x,) for x in lengths], "n_tokens long")
+        assert pack.block_count(df, 4) == n
+    assert [r.block_id for r in pack.numbered_blocks(spark, 3, 3).collect()] == [0, 1, 2]
+    with pytest.raises(ValueError, match="too few"):
+        pack.numbered_blocks(spark, 3, 4)
+
+
+def test_each_text_is_encoded_once(spark):
+    rows = spark.createDataFrame([(i, f"text {i}") for i in range(50)], "doc_id long, text string")
+    plan = pack_corpus(rows, "doc_id", Vocabulary(), 8)._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan and "pythonUDF" not in plan  # ids come from the written table
+
+
 @pytest.mark.parametrize("n,batch,most", [(0, 4, 5), (3, 4, 5), (10, 4, 5), (100, 4, 5)])
 def test_eval_plan(spark, n, batch, most):
     blocks = spark.range(n).withColumnRenamed("id", "block_id")
@@ -68,7 +83,7 @@ def test_corpus_to_blocks(spark):
         if (t or "").strip():
             stream += [base[b] for b in t.strip().encode()] + [0]
     got = {r.block_id: r.tokens
-           for r in pack_corpus(rows, "doc_id", Vocabulary(), 8, width=2).collect()}
+           for r in pack_corpus(rows, "doc_id", Vocabulary(), 8).collect()}
     assert got == {i: stream[i * 8:i * 8 + 9] for i in range((len(stream) - 1) // 8)}
 
 

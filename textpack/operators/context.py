@@ -68,22 +68,24 @@ def with_history(placed: DataFrame, payload: Column,
     """
     c = context_length
     span = c * CONTEXTS_PER_TASK
+    # Prompts that no reply follows stand at one position, so history belongs to positions: at most
+    # one pair starts at each, and any number of prompts is joined to it.
+    entry = F.struct(F.col("start").alias("at"), F.col("turn").alias("turn"), payload.alias("item"))
+    points = placed.groupBy("conv_id", "start").agg(
+        F.max(F.when(F.col("pair_len") > 0, F.struct(F.col("turn").alias("key"), entry.alias("entry"))))["entry"].alias("entry"))
     chunk = F.floor(F.col("start") / F.lit(span))
     # A pair near the end of a chunk is also context for the start of the next.
     reach = F.floor((F.col("start") + c) / F.lit(span))
-    rows = placed.select(
-        "*", chunk.alias("_own"), F.explode(F.sequence(chunk, reach)).alias("_chunk"))
-    entry = F.struct(F.col("start").alias("at"), F.col("turn").alias("turn"),
-                     payload.alias("item"))
+    rows = points.select("*", chunk.alias("_own"), F.explode(F.sequence(chunk, reach)).alias("_chunk"))
     near = Window.partitionBy("conv_id", "_chunk").orderBy("start").rangeBetween(-c, -1)
-    # collect_list skips nulls: turns without a reply leave no pair behind.
-    seen = F.collect_list(F.when(F.col("pair_len") > 0, entry)).over(near)
-    framed = rows.withColumn("_seen", seen).where(F.col("_own") == F.col("_chunk"))
+    # collect_list skips nulls: a position without a pair leaves none behind.
+    seen = rows.withColumn("_seen", F.collect_list("entry").over(near)).where(
+        F.col("_own") == F.col("_chunk")).select("conv_id", "start", "_seen")
+    framed = placed.join(seen, ["conv_id", "start"])
     room = F.col("start") + F.size("prompt_ids") - c
     kept = F.filter("_seen", lambda e: e["at"] >= room)
     return framed.withColumn(
-        "history", F.transform(F.array_sort(kept), lambda e: e["item"])
-    ).drop("_own", "_chunk", "_seen")
+        "history", F.transform(F.array_sort(kept), lambda e: e["item"])).drop("_seen")
 
 
 def chat_context(turns: DataFrame, vocabulary: Vocabulary,

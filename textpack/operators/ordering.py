@@ -15,16 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from textpack.constants import SEED, VAL_FRACTION
+from textpack.session import materialize
 
 # Four hex digits: at most 65,536 buckets, so the bucket table has a fixed size bound.
 HASH_DIGITS = 4
-# Rows per bucket, and buckets per group of buckets, for the integer keys of a whole table.
-KEY_WIDTH = 64
-GROUP_WIDTH = 4096
 # Rows per chunk of one source or conversation; few have more than one chunk.
 CHUNK_WIDTH = 1 << 16
-# Up to this many rows a limit is one bounded top-n; beyond it rows are ranked in place.
-TOP_N_ROWS = 10_000
 
 
 def hash_key(seed: int | str, *parts: Column | str) -> Column:
@@ -38,10 +34,21 @@ def hash_buckets(key: Column | str) -> list[Column]:
     return [F.substring(key, 1, HASH_DIGITS)]
 
 
-def key_buckets(key: Column | str, width: int = KEY_WIDTH) -> list[Column]:
-    """Buckets of ``width`` consecutive keys, and groups of those buckets."""
-    key = F.col(key) if isinstance(key, str) else key
-    return [F.floor(key / F.lit(width)), F.floor(key / F.lit(width * GROUP_WIDTH))]
+RANGE = "_range"
+
+
+def in_ranges(df: DataFrame, *order: Column | str) -> DataFrame:
+    """The rows, written with the number of the range of the sort key that each falls in.
+
+    Spark takes the bounds from a sample of the keys, so ranges are even for any orderable key, sparse,
+    hashed or composite, and there are no more of them than shuffle partitions. Give narrow rows: they are
+    written once, which also fixes the numbers.
+    """
+    return materialize(df.repartitionByRange(*order).withColumn(RANGE, F.spark_partition_id()), "ranges")
+
+
+def range_buckets() -> list[Column]:
+    return [F.col(RANGE)]
 
 
 def chunk_buckets(key: Column | str, width: int = CHUNK_WIDTH) -> list[Column]:
@@ -179,15 +186,26 @@ def split_and_place(encoded: DataFrame, row_id: list[str], fraction: float = VAL
     return encoded.join(places, row_id, "left")
 
 
-def limit_n(df: DataFrame, key: str, n: int, width: int = KEY_WIDTH) -> DataFrame:
-    """The first ``n`` rows in key order. A long limit is ranked in place, so that it never
-    passes through one task."""
+def limit_n(df: DataFrame, key: str | list[str], n: int) -> DataFrame:
+    """The first ``n`` rows in the order of one or more orderable columns.
+
+    Rows of equal keys are told apart by a hash of all their columns, so the result is the same in
+    every run; rows alike in all columns are interchangeable. Ranges of the key that lie below the limit
+    are kept as they are, and only the one that it cuts is sorted.
+    """
     if n < 1:
         raise ValueError("the limit must be at least 1")
-    if n <= TOP_N_ROWS:
-        return df.orderBy(key).limit(n)
-    placed = global_offset(df, F.lit(1), key, key_buckets(key, width), out="_rank")
-    return placed.where(F.col("_rank") < n).drop("_rank")
+    keys = [key] if isinstance(key, str) else key
+    order = [*keys, "_tie"]
+    rows = in_ranges(df.withColumn("_tie", F.xxhash64(*df.columns)), *order)
+    counts = rows.groupBy(RANGE).agg(F.count(F.lit(1)).alias("_n"))
+    below = F.sum("_n").over(Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1))
+    bases = counts.select(RANGE, "_n", F.coalesce(below, F.lit(0)).alias("_below")).where(F.col("_below") < n)
+    found = rows.join(bases, RANGE)
+    cut = F.col("_below") + F.col("_n") > n
+    rank = F.row_number().over(Window.partitionBy(RANGE).orderBy(*order))
+    last = found.where(cut).withColumn("_rank", rank).where(F.col("_below") + F.col("_rank") <= n)
+    return found.where(~cut).select(df.columns).unionByName(last.select(df.columns))
 
 
 def with_previous(df: DataFrame, partition: str, order: str, columns: list[str],
@@ -215,8 +233,3 @@ def union_in_order(parts: list[DataFrame]) -> DataFrame:
     """Lay several tables end to end: ``part``, then each table's own key, orders the whole."""
     tagged = [p.withColumn("part", F.lit(i).cast("long")) for i, p in enumerate(parts)]
     return reduce(DataFrame.unionByName, tagged)
-
-
-def part_buckets(part: str, key: str, width: int = KEY_WIDTH) -> list[Column]:
-    """Buckets for the order (part, key)."""
-    return [F.struct(F.col(part), b) for b in key_buckets(key, width)]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textpack.constants import CONTEXT_LENGTH, SEED
@@ -63,6 +63,19 @@ def xy_shift(blocks: DataFrame, context_length: int = CONTEXT_LENGTH) -> DataFra
         F.slice("tokens", 2, context_length).alias("y"))
 
 
+def block_count(lengths: DataFrame, context_length: int = CONTEXT_LENGTH) -> int:
+    """How many blocks texts of the given ``n_tokens`` pack into, without packing them."""
+    tokens = lengths.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n")).first()["n"]
+    return max(0, (tokens - 1) // context_length)
+
+
+def numbered_blocks(spark: SparkSession, n_blocks: int, batch_size: int = 1) -> DataFrame:
+    """Block ids to plan over; an error if they don't make one batch."""
+    if n_blocks < batch_size:
+        raise ValueError(f"{n_blocks} sequences are too few for a batch of {batch_size}")
+    return spark.range(n_blocks).withColumnRenamed("id", "block_id")
+
+
 def batch_plan(blocks: DataFrame, batch_size: int, epochs: int = 1, accum: int = 1,
                seed: int | str = SEED) -> DataFrame:
     """Which block goes into which batch and optimizer step of each epoch.

@@ -66,13 +66,6 @@ class Vocabulary:
         by_id.update({i: t for t, i in self.specials.items()})
         return [by_id[i] for i in range(self.size)]
 
-    def ranks(self) -> dict[tuple[int, int], tuple[int, int]]:
-        return {(a, b): (rank, merged) for rank, (a, b, merged) in enumerate(self.merges)}
-
-    def symbol_merges(self) -> list[tuple[str, str]]:
-        return [(chr(SYMBOL_BASE + a) + chr(SYMBOL_BASE + b), chr(SYMBOL_BASE + m))
-                for a, b, m in self.merges]
-
     def vocab_table(self, spark: SparkSession) -> DataFrame:
         special = set(self.specials.values())
         rows = [(i, token, i in special) for i, token in enumerate(self.tokens())]

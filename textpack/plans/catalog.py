@@ -17,6 +17,8 @@ from textpack.constants import (
     COMMON_WORDS,
     EOS_TOKEN,
     MAX_CHAT_TOKENS,
+    SEED,
+    VAL_FRACTION,
 )
 from textpack.functions import text as T
 from textpack.functions import tokens as K
@@ -164,7 +166,8 @@ def write_packed(spark, folder):
 
 def load_or_build(spark, folder):
     root = scratch_path(spark, "cache")
-    arguments = dict(context_length=CONTEXT, folder=folder, vocab_size=CHAT_BYTES.size)
+    arguments = dict(vocabulary=CHAT_BYTES, context_length=CONTEXT, folder=folder, max_tokens=BYTE_LIMIT,
+                     seed=SEED, fraction=VAL_FRACTION)
 
     def build():
         return _chat_blocks(spark, folder)
@@ -257,15 +260,17 @@ def cut_at_id(spark, folder):
 
 
 def strip_eos_text(spark, folder):
-    return inputs.documents(spark, folder).select(
-        "doc_id", T.strip_eos_text(F.concat("text", F.lit(f" {EOS_TOKEN}\n"))).alias("text"))
+    # Documents with the control token in place of every line feed.
+    marked = F.replace(F.col("text"), F.lit("\n"), F.lit(EOS_TOKEN))
+    return inputs.documents(spark, folder).select("doc_id", T.strip_eos_text(marked).alias("text"))
 
 
 def seed_empty_prompt(spark, folder):
-    # The first number in each document as a prompt; most documents give an empty one.
-    prompt = F.regexp_extract("text", "[0-9]+", 0)
-    ids = inputs.documents(spark, folder).select(
-        "doc_id", K.encode_ids(prompt, BYTES).alias("ids"))
+    # Every document as a prompt, and an empty prompt beside it.
+    docs = inputs.documents(spark, folder)
+    prompts = docs.select("doc_id", T.py_strip("text").alias("p")).unionByName(
+        docs.select("doc_id", F.lit("").alias("p")))
+    ids = prompts.select("doc_id", K.encode_ids("p", BYTES).alias("ids"))
     return ids.select("doc_id", spell(T.seed_empty_prompt("ids", BYTES.eos_id)).alias("ids"))
 
 
@@ -402,8 +407,9 @@ def exact_split(spark, folder):
 def global_offset(spark, folder):
     lengths = _stories(spark, folder).select(
         "doc_id", (K.byte_count("text", [EOS_TOKEN]) + 1).cast("long").alias("n_tokens"))
-    return ordering.global_offset(
-        lengths, "n_tokens", "doc_id", ordering.key_buckets("doc_id"))
+    placed = ordering.global_offset(
+        ordering.in_ranges(lengths, "doc_id"), "n_tokens", "doc_id", ordering.range_buckets())
+    return placed.drop(ordering.RANGE)
 
 
 def pack_blocks(spark, folder):
@@ -421,18 +427,18 @@ def xy_shift(spark, folder):
     return shifted.select("block_id", spell("x").alias("x"), spell("y").alias("y"))
 
 
-def _block_ids(packed: DataFrame) -> DataFrame:
-    """Block ids of a packed table, written first so that planning does not pack again."""
-    return materialize(packed, "blocks").select("block_id")
+def _story_block_ids(spark: SparkSession, folder: str, batch_size: int = 1) -> DataFrame:
+    """Block ids of the story corpus, from the lengths of its texts alone."""
+    lengths = _stories(spark, folder).select((K.byte_count("text", [EOS_TOKEN]) + 1).alias("n_tokens"))
+    return pack.numbered_blocks(spark, pack.block_count(lengths, CONTEXT), batch_size)
 
 
 def batch_plan(spark, folder):
-    return pack.batch_plan(_block_ids(_story_blocks(spark, folder)), BATCH, EPOCHS, ACCUM)
+    return pack.batch_plan(_story_block_ids(spark, folder, BATCH), BATCH, EPOCHS, ACCUM)
 
 
 def eval_plan(spark, folder):
-    return pack.eval_plan(
-        _block_ids(_story_blocks(spark, folder)), EVAL_BATCH, EVAL_BATCHES)
+    return pack.eval_plan(_story_block_ids(spark, folder), EVAL_BATCH, EVAL_BATCHES)
 
 
 def chat_context(spark, folder):
@@ -463,9 +469,15 @@ def concat_streams(spark, folder):
     whole = ordering.union_in_order([first, second]).select(
         "part", "key",
         (K.byte_count("text", [EOS_TOKEN]) + 1).cast("long").alias("n_tokens"))
-    return ordering.running(
-        whole, F.struct("part", "key"), ordering.part_buckets("part", "key"),
+    placed = ordering.running(
+        ordering.in_ranges(whole, "part", "key"), F.struct("part", "key"), ordering.range_buckets(),
         sums={"start": F.col("n_tokens")})
+    return placed.drop(ordering.RANGE)
+
+
+def limit_pairs(spark, folder):
+    """The first pairs of the line stream, by source and closing line."""
+    return ordering.limit_n(parse_blocks(spark, folder), ["src", "end_line"], LIMIT_ROWS)
 
 
 def word_intersect(spark, folder):
@@ -562,7 +574,7 @@ def queries() -> dict[str, Query]:
         filter_report, avg_tokens, split_totals, n_sequences, dataset_manifest, corpus_count,
         parse_blocks, pair_turns, seeded_shuffle, exact_split, global_offset, pack_blocks,
         pack_corpus_bpe, xy_shift, batch_plan, eval_plan, chat_context,
-        limit_n, topk_ties, argmax, concat_streams, word_intersect,
+        limit_n, limit_pairs, topk_ties, argmax, concat_streams, word_intersect,
         stream_format, stream_parse_blocks, stream_chat_context,
         bigram_counts, next_token_dist, heldout_loss, resize_embeddings,
     ]

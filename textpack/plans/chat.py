@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from textpack.constants import CONTEXT_LENGTH, MAX_CHAT_TOKENS, SEED, VAL_FRACTION
-from textpack.operators.clean import english_pairs, token_length_filter
-from textpack.operators.encode import encode_rows
+from textpack.functions.tokens import encode_ids
+from textpack.operators.clean import computed_once, english_pairs, token_length_filter
 from textpack.operators.ordering import split_and_place
 from textpack.operators.pack import pack_blocks
 from textpack.operators.vocabulary import Vocabulary
@@ -17,11 +18,12 @@ def encode_chat(pairs: DataFrame, vocabulary: Vocabulary,
                 max_tokens: int = MAX_CHAT_TOKENS) -> DataFrame:
     """Kept conversations (ids, n_tokens) from a written table.
 
-    Cheap filters run first, each remaining line is encoded once, and the length filter reads the
-    stored count.
+    Cheap filters run first, each remaining line is encoded once, and lines that are too long are
+    dropped before the write.
     """
-    encoded = encode_rows(english_pairs(pairs), vocabulary, "line")
-    return token_length_filter(materialize(encoded, "chat"), max_tokens)
+    encoded = computed_once(english_pairs(pairs), {"ids": encode_ids("line", vocabulary)}).drop("line")
+    counted = encoded.withColumn("n_tokens", F.size("ids"))
+    return materialize(token_length_filter(counted, max_tokens), "chat")
 
 
 def pack_chat(encoded: DataFrame, row_id: list[str], context_length: int = CONTEXT_LENGTH,

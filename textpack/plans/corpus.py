@@ -3,37 +3,31 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from textpack.constants import CONTEXT_LENGTH
-from textpack.functions.tokens import byte_count, encode_ids
 from textpack.operators.clean import usable_stories
 from textpack.operators.encode import encode_rows
-from textpack.operators.ordering import KEY_WIDTH, key_buckets
+from textpack.operators.ordering import in_ranges, range_buckets
 from textpack.operators.pack import pack_blocks, place_in_stream
 from textpack.operators.vocabulary import Vocabulary
 from textpack.session import materialize
 
 
-def place_corpus(rows: DataFrame, key: str, vocabulary: Vocabulary, width: int = KEY_WIDTH,
+def place_corpus(rows: DataFrame, key: str, vocabulary: Vocabulary,
                  max_rows: int | None = None) -> DataFrame:
-    """Usable stories as (key, ids, start), each closed by EOS, placed in key order."""
+    """Usable stories as (key, ids, start), each closed by EOS, placed in key order.
+
+    Each text is encoded once, into a written table. Only keys and lengths are ordered; the ids are
+    joined to their places.
+    """
     stories = usable_stories(rows, key, max_rows=max_rows)
-    order, buckets = F.col(key), key_buckets(key, width)
-    if vocabulary.merges:
-        # Lengths are only known once encoded, so encode once and keep the result.
-        encoded = materialize(encode_rows(stories, vocabulary, append_eos=True), "encoded")
-        return place_in_stream(encoded, order, buckets)
-    # Byte tokens are counted without being built: the text is placed, and a byte per token moves
-    # through the shuffle instead of four.
-    n_tokens = byte_count("text", list(vocabulary.specials)) + 1
-    placed = place_in_stream(stories.withColumn("n_tokens", n_tokens), order, buckets)
-    ids = F.array_append(encode_ids("text", vocabulary), F.lit(vocabulary.eos_id))
-    return placed.select(key, ids.alias("ids"), "start")
+    encoded = materialize(encode_rows(stories, vocabulary, append_eos=True), "encoded")
+    lengths = in_ranges(encoded.select(key, "n_tokens"), key)
+    places = place_in_stream(lengths, key, range_buckets())
+    return encoded.join(places.select(key, "start"), key)
 
 
 def pack_corpus(rows: DataFrame, key: str, vocabulary: Vocabulary,
-                context_length: int = CONTEXT_LENGTH, width: int = KEY_WIDTH,
-                max_rows: int | None = None) -> DataFrame:
+                context_length: int = CONTEXT_LENGTH, max_rows: int | None = None) -> DataFrame:
     """Stories in key order as blocks (block_id, tokens)."""
-    return pack_blocks(place_corpus(rows, key, vocabulary, width, max_rows), context_length)
+    return pack_blocks(place_corpus(rows, key, vocabulary, max_rows), context_length)

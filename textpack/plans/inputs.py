@@ -12,18 +12,16 @@ from textpack.operators.blocks import pair_turns
 LINES_PER_TURN = 1 << 32
 
 
-def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """Shuffle a table that comes in fewer splits than there are cores, such as one file with one
-    row group. A table of any size has more splits and is left as it is."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() >= cores:
-        return rows
-    return rows.repartition(4 * cores, *keys)
+#: Session setting with the partitions to deal documents to, for a file of fewer splits than cores.
+SPLITS = "textpack.input.splits"
 
 
-def documents(spark: SparkSession, folder: str) -> DataFrame:
+def documents(spark: SparkSession, folder: str, splits: int | None = None) -> DataFrame:
+    """Documents as the scan splits them, or dealt to ``splits`` partitions if that is set, here or
+    in the session."""
     rows = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
-    return spread(rows, "doc_id")
+    splits = splits or int(spark.conf.get(SPLITS, "0"))
+    return rows.repartition(splits, "doc_id") if splits else rows
 
 
 def conversations(spark: SparkSession, folder: str) -> DataFrame:

@@ -355,11 +355,12 @@ UNION ALL SELECT conv_id, turn, 'assistant', {_preview_pair('assistant', True)}
 FROM prompts p LEFT JOIN history h USING (conv_id, turn)""",
         "cut_at_id": f"""SELECT doc_id, {spell(byte_ids(f'string_split(text, {NEWLINE})[1]'))} AS ids
 FROM documents""",
-        "strip_eos_text": f"SELECT doc_id, {strip(f'''replace(text || ' ', {q(EOS_TOKEN)}, '')''')}"
+        "strip_eos_text": f"SELECT doc_id, {strip(f'''replace(replace(text, chr(10), {q(EOS_TOKEN)}), {q(EOS_TOKEN)}, '')''')}"
                           " AS text FROM documents",
         "seed_empty_prompt": f"""SELECT doc_id, CASE WHEN p = '' THEN '[0]' ELSE
   {spell(byte_ids('p'))} END AS ids
-FROM (SELECT doc_id, regexp_extract(text, '[0-9]+') AS p FROM documents)""",
+FROM (SELECT doc_id, {strip('text')} AS p FROM documents
+  UNION ALL SELECT doc_id, '' FROM documents)""",
         "pretokenize": f"""SELECT doc_id, len(p) AS n_pieces, array_to_string(p, {UNIT}) AS pieces
 FROM (SELECT doc_id, {pieces('text')} AS p FROM documents)""",
         "byte_alphabet": f"SELECT doc_id, array_to_string({byte_list('text', byte_char)}, '')"
@@ -456,6 +457,7 @@ WHERE block_id // least({C.EVAL_BATCH}, n)
         "chat_context": contexts,
         "limit_n": f"WITH {STORIES} SELECT doc_id, text FROM stories ORDER BY doc_id"
                    f" LIMIT {C.LIMIT_ROWS}",
+        "limit_pairs": parsed + f" ORDER BY src, end_line LIMIT {C.LIMIT_ROWS}",
         "topk_ties": f"""WITH {BIGRAMS} SELECT x::BIGINT AS x, y::BIGINT AS y, n FROM bigrams
 QUALIFY rank() OVER (PARTITION BY x ORDER BY n DESC) <= {C.TOP_K}""",
         "argmax": f"""WITH {BIGRAMS} SELECT x::BIGINT AS x, y::BIGINT AS y FROM bigrams

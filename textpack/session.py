@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,14 +14,14 @@ _local_roots: dict[str, str] = {}
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, as named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting gets a folder of its own. On a cluster a
-    machine-local folder would be lost with its executor, so a missing setting is an error.
+    Only a session that runs in one process and lacks that setting gets a folder of its own. On a
+    cluster a machine-local folder would be lost with its executor, so a missing setting is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _local_roots:
         _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="textpack-")

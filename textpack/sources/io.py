@@ -95,21 +95,25 @@ def fingerprint(**parameters) -> str:
 
 
 def load_or_build(spark: SparkSession, root: str, split: str, build: Callable[[], DataFrame],
-                  force: bool = False, **parameters) -> DataFrame:
+                  vocabulary: Vocabulary, force: bool = False, **parameters) -> DataFrame:
     """Blocks of one split, from the cached table if it was built with the same parameters.
 
-    A chat table (``chat_`` prefix) stands in when there is no plain one; ``validation`` finds
-    ``val``. ``build`` returns the blocks of all splits; ``force`` builds again.
+    The key covers every merge and control token of the vocabulary and all of ``parameters``, which must name
+    whatever else decides the blocks. A table counts once the mark that is written after it is there. A
+    chat table (``chat_`` prefix) stands in when there is no plain one; ``validation`` finds ``val``.
+    ``build`` returns the blocks of all splits; ``force`` builds again.
     """
-    key = fingerprint(**parameters)
+    key = fingerprint(merges=vocabulary.merges, specials=vocabulary.specials, **parameters)
     plain, chat = f"{root}/{key}", f"{root}/chat_{key}"
     if not force:
         for path in (plain, chat):
             try:
+                spark.read.parquet(f"{path}.done")
                 return read_packed(spark, path, split)
             except AnalysisException:
                 continue
     write_packed(build(), plain)
+    spark.range(1, numPartitions=1).write.mode("overwrite").parquet(f"{plain}.done")
     return read_packed(spark, plain, split)
 
 
