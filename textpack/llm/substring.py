@@ -189,7 +189,8 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW) -> tuple[DataFrame, Da
     ``spans`` has the first word of such a window run and the word behind its last.
     """
     every = materialize(segments(rows, window), "segments")
-    again = every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # Written first, so that the join reads both sides from exchanges, whose large keys Spark can split.
+    again = materialize(every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
     members = materialize(every.join(again, "anchor"), "members")
     owners = (members.groupBy("anchor", "content")
               .agg(F.min(F.struct("id", "digest", "start", "length")).alias("o"), F.count("*").alias("n")))
