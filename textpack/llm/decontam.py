@@ -21,12 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from textpack.llm.words import buffers_of, hash_runs, mix, schema_with, slices, word_spans
+from textpack.llm.words import buffers_of, free_name, hash_runs, mix, schema_with, slices, word_spans
 
 #: Words of items that one pass over the texts holds; a larger benchmark takes several passes.
 PASS_WORDS = 2_000_000
 #: Steps in a key, share of edited words of an item, recall aimed at, most repetitions tried.
-SAMPLED, MAX_EDIT_SHARE, RECALL, MOST_REPETITIONS = 3, 0.1, 0.95, 32
+SAMPLED, MAX_EDIT_SHARE, RECALL, MOST_REPETITIONS = 3, 0.15, 0.95, 32
 #: An item of fewer words says too little to tell a copy from chance, and is not searched for.
 LEAST_WORDS = 8
 LONGEST_WINDOW = 64
@@ -272,5 +272,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
 def without_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """Rows of ``docs`` in which no benchmark item is found. Rows of one key go or stay together; of rows
     without a key, all go if one has a leak."""
-    leaks = find_leaks(docs, benchmark, key, **options).select(F.col(key).alias("_leaked")).distinct()
-    return docs.join(leaks, F.col(key).eqNullSafe(F.col("_leaked")), "left_anti")
+    name = free_name(docs, "_leaked")
+    leaks = find_leaks(docs, benchmark, key, **options).select(F.col(key).alias(name)).distinct()
+    return docs.join(leaks, docs[key].eqNullSafe(leaks[name]), "left_anti")

@@ -125,3 +125,11 @@ def by_slice(work: Callable[[pa.RecordBatch], pa.RecordBatch], text: str = "text
 def schema_with(rows: DataFrame, fields: str) -> StructType:
     """The schema of ``rows`` with more fields, given as DDL."""
     return StructType(rows.schema.fields + StructType.fromDDL(fields).fields)
+
+
+def free_name(rows: DataFrame, name: str) -> str:
+    """A column name that ``rows`` doesn't have."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
