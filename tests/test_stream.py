@@ -1,9 +1,11 @@
-import random
+import os
 
 import pytest
+from pyspark.sql import functions as F
 
-from tests.test_blocks import LINES, line_by_line
-from tests.test_context import CHAT, SCHEMA, session, turns
+from tests.test_blocks import FILES
+from tests.test_blocks import SCHEMA as LINES
+from tests.test_context import CHAT, CONVERSATIONS, SCHEMA
 from textpack.operators import clean
 from textpack.streaming import jobs
 
@@ -30,27 +32,36 @@ def test_format(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
 
 
-def test_parse_blocks(spark, tmp_path):
-    rng = random.Random(8)
-    rows = [(s, i, rng.choice(LINES)) for s, n in (("hot", 160), ("b", 70)) for i in range(n)]
-    stream = staged(spark, f"{tmp_path}/in", cut(rows, [23, 24, 61]),
-                    "src string, line_no long, line string")
+@pytest.mark.parametrize("places", [[1, 2, 3], [2], [4, 6]])
+def test_parse_blocks(spark, tmp_path, places):
+    """Files that arrive in parts give what they give as a whole."""
+    rows = [(name, i, line) for name, (lines, _) in FILES.items() for i, line in enumerate(lines)]
+    stream = staged(spark, f"{tmp_path}/in", cut(rows, places), LINES)
     jobs.stream_parse_blocks(stream, f"{tmp_path}/out", f"{tmp_path}/cp", 16).awaitTermination()
     got = spark.read.parquet(f"{tmp_path}/out/batch=*").collect()
-    want = [(s, *p) for s in ("hot", "b")
-            for p in line_by_line([r[1:] for r in rows if r[0] == s])]
-    assert len(want) > 5
-    assert sorted((r.src, r.end_line, r.user, r.assistant) for r in got) == sorted(want)
+    assert sorted((r.src, r.end_line, r.user, r.assistant) for r in got) == sorted(
+        (name, *pair) for name, (_, pairs) in FILES.items() for pair in pairs)
 
 
 def test_chat_context(spark, tmp_path):
-    rows = turns(6, ((1, 60), (2, 12), (4, 30)))
-    stream = staged(spark, f"{tmp_path}/in", cut(rows, [7, 20, 21]), SCHEMA)
-    jobs.stream_chat_context(stream, CHAT, f"{tmp_path}/out", f"{tmp_path}/cp", 90,
-                             8).awaitTermination()
-    got = {(r.conv_id, r.turn): (r.n_pairs, r.ids)
-           for r in spark.read.parquet(f"{tmp_path}/out/batch=*").collect()}
-    assert got == {k: v[:2] for k, v in session(rows, 90).items()}
+    rows = [(c, *turn) for c, (turns, _) in CONVERSATIONS.items() for turn in turns]
+    stream = staged(spark, f"{tmp_path}/in", cut(rows, [2, 3, 5]), SCHEMA)
+    jobs.stream_chat_context(stream, CHAT, f"{tmp_path}/out", f"{tmp_path}/cp", 18, 8).awaitTermination()
+    got = {(r.conv_id, r.turn): r.n_pairs for r in spark.read.parquet(f"{tmp_path}/out/batch=*").collect()}
+    assert got == {(c, turn): n for c, (_, prompts) in CONVERSATIONS.items() for turn, n, _ in prompts}
+
+
+def test_a_batch_touches_only_the_buckets_of_its_keys(spark, tmp_path):
+    steps = [[(f"s{i}", 0, "Words: x") for i in range(40)], [("s3", 1, "Story: y"), ("s3", 2, "<|endoftext|>")]]
+    stream = staged(spark, f"{tmp_path}/in", steps, LINES)
+    jobs.stream_parse_blocks(stream, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
+    buckets = [{d for d in os.listdir(f"{tmp_path}/cp/carry/batch={n}") if d.startswith("bucket=")} for n in (0, 1)]
+    own = spark.range(1).select(F.pmod(F.xxhash64(F.lit("s3")), F.lit(jobs.CARRY_BUCKETS))).first()[0]
+    assert len(buckets[0]) > 20 and buckets[1] == {f"bucket={own}"}
+    index = {r.bucket: r.batch for r in spark.read.parquet(f"{tmp_path}/cp/index/batch=1").collect()}
+    assert index[own] == 1 and set(index.values()) == {0, 1} and len(index) == len(buckets[0])
+    # What an untouched bucket holds isn't read: the next batch would fail on it.
+    assert [r.user for r in spark.read.parquet(f"{tmp_path}/out/batch=1").collect()] == ["Words: x"]
 
 
 def test_late_lines_are_an_error(spark, tmp_path):

@@ -5,9 +5,11 @@ what is still open per source or conversation. Each micro-batch runs the batch o
 carried rows and the new ones, so a source that holds a large share of a micro-batch is spread over
 many tasks just as in batch, which a keyed state operator could not do.
 
-The carried rows are a written table with two slots used in turn. A micro-batch that is run again
-after a failure reads the slot of the batch before it and overwrites its own slot and output, so
-every batch takes effect once.
+The carried rows are written tables, dealt to a fixed number of buckets by a hash of the key. A
+micro-batch reads and writes only the buckets that its own keys fall in, so its cost follows its own size
+and not the number of keys ever seen. A small index says which batch wrote each bucket last. A
+micro-batch that is run again after a failure reads the index of the batch before it and overwrites its
+own index, carry and output, so every batch takes effect once.
 """
 
 from __future__ import annotations
@@ -27,6 +29,11 @@ from textpack.operators.vocabulary import Vocabulary
 
 Step = Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
 
+# Buckets of the carried rows, and so the rows of the index.
+CARRY_BUCKETS = 256
+# Process what is there and stop; pass ``{"processingTime": "1 minute"}`` and the like to go on.
+ONCE = {"availableNow": True}
+
 
 def read_table_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1
                       ) -> DataFrame:
@@ -37,11 +44,11 @@ def read_table_stream(spark: SparkSession, path: str, schema, files_per_batch: i
 
 def stream_format(pairs: DataFrame, out: str, checkpoint: str,
                   counter: Counter = piece_counter,
-                  max_tokens: int = MAX_CHAT_TOKENS) -> StreamingQuery:
+                  max_tokens: int = MAX_CHAT_TOKENS, trigger: dict = ONCE) -> StreamingQuery:
     """Format a stream of pairs into Parquet files."""
     kept = format_pairs(pairs, counter, max_tokens)
     return kept.writeStream.format("parquet").option("path", out).option(
-        "checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        "checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def check_order(carried: DataFrame, new: DataFrame, key: str, order: str) -> None:
@@ -52,31 +59,43 @@ def check_order(carried: DataFrame, new: DataFrame, key: str, order: str) -> Non
         raise ValueError(f"rows of a {key} arrived out of {order} order")
 
 
-def run_with_carry(stream: DataFrame, step: Step, out: str, checkpoint: str) -> StreamingQuery:
-    """Run ``step(carried, new) -> (output, carried)`` on every micro-batch."""
+def run_with_carry(stream: DataFrame, key: str, step: Step, out: str, checkpoint: str,
+                   trigger: dict = ONCE) -> StreamingQuery:
+    """Run ``step(carried, new) -> (output, carried)`` on every micro-batch.
+
+    ``carried`` has the rows kept for the keys of the buckets that new rows fall in.
+    """
     schema = stream.schema
+    bucket = F.pmod(F.xxhash64(key), F.lit(CARRY_BUCKETS)).cast("int")
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.persist()
         try:
-            if batch_id == 0:
-                carried = spark.createDataFrame([], schema)
-            else:
-                carried = spark.read.schema(schema).parquet(
-                    f"{checkpoint}/carry/slot={(batch_id - 1) % 2}")
+            index = {}
+            if batch_id:
+                written = spark.read.schema("bucket int, batch long").parquet(f"{checkpoint}/index/batch={batch_id - 1}")
+                index = dict(map(tuple, written.collect()))
+            touched = [r[0] for r in batch.select(bucket).distinct().collect()]
+            paths = [f"{checkpoint}/carry/batch={index[b]}/bucket={b}" for b in touched if b in index]
+            carried = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
             output, kept = step(carried, batch)
             output.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-            kept.write.mode("overwrite").parquet(f"{checkpoint}/carry/slot={batch_id % 2}")
+            place = f"{checkpoint}/carry/batch={batch_id}"
+            kept.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(place)
+            left = [r[0] for r in spark.read.schema(f"{key} string, bucket int").parquet(place).select("bucket").distinct().collect()]
+            index = {b: n for b, n in index.items() if b not in touched} | dict.fromkeys(left, batch_id)
+            spark.createDataFrame(list(index.items()), "bucket int, batch long").coalesce(1).write.mode(
+                "overwrite").parquet(f"{checkpoint}/index/batch={batch_id}")
         finally:
             batch.unpersist()
 
     return stream.writeStream.foreachBatch(run).option(
-        "checkpointLocation", f"{checkpoint}/query").trigger(availableNow=True).start()
+        "checkpointLocation", f"{checkpoint}/query").trigger(**trigger).start()
 
 
 def stream_parse_blocks(lines: DataFrame, out: str, checkpoint: str,
-                        width: int = CHUNK_WIDTH) -> StreamingQuery:
+                        width: int = CHUNK_WIDTH, trigger: dict = ONCE) -> StreamingQuery:
     """Parse a stream of lines (src, line_no, line); the carried state is the open block."""
 
     def step(carried: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -84,12 +103,12 @@ def stream_parse_blocks(lines: DataFrame, out: str, checkpoint: str,
         classified = classify_lines(carried.unionByName(new), width)
         return assemble_blocks(classified), open_lines(classified)
 
-    return run_with_carry(lines.select("src", "line_no", "line"), step, out, checkpoint)
+    return run_with_carry(lines.select("src", "line_no", "line"), "src", step, out, checkpoint, trigger)
 
 
 def stream_chat_context(turns: DataFrame, vocabulary: Vocabulary, out: str, checkpoint: str,
                         context_length: int = CONTEXT_LENGTH,
-                        width: int = CHUNK_WIDTH) -> StreamingQuery:
+                        width: int = CHUNK_WIDTH, trigger: dict = ONCE) -> StreamingQuery:
     """Context of every user turn in a stream (conv_id, turn, role, text).
 
     The carried state is the pairs that may still fit, at most C tokens per conversation, and the
@@ -111,4 +130,4 @@ def stream_chat_context(turns: DataFrame, vocabulary: Vocabulary, out: str, chec
             last.select("conv_id", "turn", "s.role", "s.text"))
         return fresh, kept.dropDuplicates(["conv_id", "turn"])
 
-    return run_with_carry(spoken, step, out, checkpoint)
+    return run_with_carry(spoken, "conv_id", step, out, checkpoint, trigger)
