@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textpack.llm.components import connect
-from textpack.llm.words import schema_with, texts_of
+from textpack.llm.words import free_name, schema_with, texts_of
 from textpack.session import materialize
 
 SEED, RADIUS = 42, 2
@@ -87,11 +87,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """Rows of ``docs``, one of each component: that of the smallest key, then of the first text.
+    """Rows of ``docs``, one of each component: that of the smallest key.
 
-    Rows without a key are kept only if nothing near them has one.
+    Of rows that share that key one stays, and one of all rows without a key if nothing near them has one.
     """
     found = near_duplicates(docs, key, text, **options)
-    first = found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_kept")).distinct()
-    kept = docs.join(first, F.col(key).eqNullSafe(F.col("_kept")), "left_semi")
+    name = free_name(docs, "_kept")
+    first = found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias(name)).distinct()
+    kept = docs.join(first, docs[key].eqNullSafe(first[name]), "left_semi")
     return kept.dropDuplicates([key])
