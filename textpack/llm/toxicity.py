@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textpack.llm.words import buffers_of, by_slice, hash_runs, schema_with, word_spans
+from textpack.session import materialize
 
 #: Hashed features, and the most labelled rows that the model is fitted on, those of the smallest hash.
 BUCKET_BITS, MAX_TRAIN = 18, 12_000
@@ -61,38 +62,36 @@ class Model:
         return -np.expm1(-np.bincount(rows, weights=np.logaddexp(0, logits), minlength=n))
 
 
-def fit(words: np.ndarray, heads: np.ndarray, rows: np.ndarray, labels: np.ndarray) -> Model:
+def telling(seen: np.ndarray, in_toxic: np.ndarray, n: int, positive: int) -> np.ndarray:
+    """Features that tell toxic texts from others: their share of toxic texts is far from the base rate."""
+    base = positive / n
+    far = np.abs(in_toxic - base * seen) >= LEAST_DEVIATIONS * np.sqrt(np.maximum(seen, 1) * base * (1 - base))
+    return np.flatnonzero((seen >= LEAST_TEXTS) & far)
+
+
+def fit(features: np.ndarray, sentence: np.ndarray, rows: np.ndarray, plain: np.ndarray, labels: np.ndarray) -> Model:
     """Weights that make the labels likely, by gradient steps through the noisy-or.
 
-    Both kinds of texts weigh alike in sum. Without texts of both kinds the model says the base rate.
+    ``features`` are the telling features found, ``sentence`` the sentence of each, ``rows`` the text of each
+    sentence that has any; ``plain`` counts the other sentences of each text. Both kinds of texts weigh alike in
+    sum. Without texts of both kinds the model says the base rate.
     """
     size, n = 1 << BUCKET_BITS, len(labels)
-    weights, bias = np.zeros(size), START_BIAS
-    positive = int(labels.sum())
-    if not len(heads) or positive in (0, n):
-        return Model(weights, 20.0 if n and positive == n else -20.0)
-    counts = np.diff(np.append(heads, len(words)))
-    pairs = np.unique(np.repeat(rows, counts).astype(np.int64) << BUCKET_BITS | words)
-    seen, in_toxic = (np.bincount(pairs[chosen] & (size - 1), minlength=size)
-                      for chosen in (slice(None), labels[pairs >> BUCKET_BITS] == 1))
-    # How far the share of toxic texts among those with the feature is from the base rate, in standard deviations.
-    base = positive / n
-    telling = np.abs(in_toxic - base * seen) >= LEAST_DEVIATIONS * np.sqrt(np.maximum(seen, 1) * base * (1 - base))
-    common = (seen >= LEAST_TEXTS) & telling
-    used = np.flatnonzero(common)
-    number = np.zeros(size, dtype=np.int64)
-    number[used] = np.arange(len(used))
-    kept = common[words]
-    sentence, compact = np.repeat(np.arange(len(heads)), counts)[kept], number[words[kept]]
+    weights, positive = np.zeros(size), int(labels.sum())
+    if positive in (0, n):
+        return Model(weights, 20.0 if n and positive else -20.0)
+    used, compact = np.unique(features, return_inverse=True)
     w, moment, power = (np.zeros(len(used) + 1) for _ in range(3))
-    w[-1] = bias
-    share = np.where(labels == 1, 0.5 / positive, 0.5 / (n - positive)) * n
+    w[-1] = START_BIAS
+    share = np.where(labels == 1, 0.5 / positive, 0.5 / (n - positive))
     for step in range(1, STEPS + 1):
-        logits = np.bincount(sentence, weights=w[compact], minlength=len(heads)) + w[-1]
-        left = np.exp(-np.bincount(rows, weights=np.logaddexp(0, logits), minlength=n))  # chance of no toxic sentence
-        pull = np.where(labels == 1, -left / np.maximum(1 - left, 1e-9), 1.0) * share / n
+        logits = np.bincount(sentence, weights=w[compact], minlength=len(rows)) + w[-1]
+        clean = np.bincount(rows, weights=np.logaddexp(0, logits), minlength=n) + plain * np.logaddexp(0, w[-1])
+        left = np.exp(-clean)  # chance of no toxic sentence
+        pull = np.where(labels == 1, -left / np.maximum(1 - left, 1e-9), 1.0) * share
         grad_logit = pull[rows] * np.exp(-np.logaddexp(0, -logits))
-        grad = np.append(np.bincount(compact, weights=grad_logit[sentence], minlength=len(used)), grad_logit.sum())
+        grad_bias = grad_logit.sum() + (pull * plain).sum() * np.exp(-np.logaddexp(0, -w[-1]))
+        grad = np.append(np.bincount(compact, weights=grad_logit[sentence], minlength=len(used)), grad_bias)
         grad[:-1] += DECAY * w[:-1]
         moment = 0.9 * moment + 0.1 * grad
         power = 0.99 * power + 0.01 * grad ** 2
@@ -110,34 +109,66 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
           max_train: int = MAX_TRAIN) -> Model:
     """Fit on at most ``max_train`` labelled rows outside the held-out part, the smallest by hash of the key.
 
-    Only hashed words of the sample come to the driver. A key with several labels is toxic if any is.
+    What comes to the driver is two counts for each feature and, of the sample, the telling features of its
+    sentences. A key with several labels is toxic if any is.
     """
     marks = (labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out(F.col(key)))
              .groupBy(F.col(key).alias("_key")).agg(F.max(F.col(label) == 1).alias("_toxic")))
     chosen = marks.orderBy(F.xxhash64("_key"), "_key").limit(max_train)
+    sample = materialize(
+        docs.select(F.col(key).alias("_doc"), F.col(text).alias("text"))
+        .join(chosen, F.col("_doc") == F.col("_key")).select("text", "_toxic"), "labelled-sample")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, (1 << BUCKET_BITS) + 1), dtype=np.int64)  # the last place counts texts
+
+        def add(batch: pa.RecordBatch) -> None:
+            words, heads, rows, _ = features(batch.column(0))
+            toxic = batch.column(1).to_numpy(zero_copy_only=False)
+            each = np.repeat(rows, np.diff(np.append(heads, len(words))))
+            pairs = np.unique(each.astype(np.int64) << BUCKET_BITS | words)
+            for place, wanted in enumerate((slice(None), toxic[pairs >> BUCKET_BITS])):
+                total[place, :-1] += np.bincount(pairs[wanted] & ((1 << BUCKET_BITS) - 1), minlength=1 << BUCKET_BITS)
+            total[:, -1] += len(toxic), toxic.sum()
+
+        for _ in by_slice(add)(batches):
+            pass
+        used = np.flatnonzero(total[0])
+        yield pa.RecordBatch.from_pydict({"bucket": pa.array(used), "seen": pa.array(total[0][used]), "in_toxic": pa.array(total[1][used])})
+
+    counts = (sample.mapInArrow(count, "bucket long, seen long, in_toxic long").groupBy("bucket")
+              .agg(F.sum("seen").alias("seen"), F.sum("in_toxic").alias("in_toxic")).toArrow())
+    total = np.zeros((2, (1 << BUCKET_BITS) + 1), dtype=np.int64)
+    total[:, counts.column("bucket").to_numpy()] = counts.column("seen").to_numpy(), counts.column("in_toxic").to_numpy()
+    n, positive = total[:, -1].tolist()
+    kept = telling(*total[:, :-1], n, positive) if 0 < positive < n else np.zeros(0, np.int64)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.zeros(1 << BUCKET_BITS, dtype=bool)
+        wanted[kept] = True
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             words, heads, rows, _ = features(batch.column(0))
-            n = batch.num_rows
-            ends = np.append(heads, len(words))
-            per_row = np.bincount(rows, minlength=n)
-            offsets = np.append(0, np.cumsum(per_row))
-            return pa.RecordBatch.from_arrays([
-                pa.array([words[ends[a]:ends[b]].tobytes() for a, b in zip(offsets[:-1], offsets[1:])], pa.binary()),
-                pa.array([np.diff(ends[a:b + 1]).astype("<i4").tobytes() for a, b in zip(offsets[:-1], offsets[1:])], pa.binary()),
-                batch.column(1), batch.column(2)], names=["words", "sizes", "_key", "_toxic"])
+            sentence = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(words))))
+            found = wanted[words]
+            n_rows = batch.num_rows
+            at = np.append(0, np.cumsum(np.bincount(rows[sentence[found]], minlength=n_rows))).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(pa.array(at), pa.array(x[found].astype(np.int32))) for x in (words, sentence)]
+            return pa.RecordBatch.from_arrays(
+                [*lists, pa.array(np.bincount(rows, minlength=n_rows)), batch.column(1)], names=["words", "sentence", "n", "_toxic"])
         return by_slice(work)(batches)
 
-    sample = (docs.select(F.col(key).alias("_doc"), F.col(text).alias("text"))
-              .join(chosen, F.col("_doc") == F.col("_key")).select("text", "_key", "_toxic")
-              .mapInArrow(run, "words binary, sizes binary, _key " + dict(labels.dtypes)[key] + ", _toxic boolean"))
-    table = sample.toPandas().sort_values(["_key", "words"], kind="stable")
-    words = np.concatenate([np.zeros(0, np.int32), *(np.frombuffer(b, np.int32) for b in table["words"])])
-    sizes = [np.frombuffer(b, "<i4") for b in table["sizes"]]
-    rows = np.repeat(np.arange(len(table)), [len(s) for s in sizes]) if len(table) else np.zeros(0, int)
-    flat = np.concatenate([np.zeros(0, np.int64), *sizes])
-    return fit(words, (np.cumsum(flat) - flat).astype(np.int64), rows, table["_toxic"].to_numpy().astype(int))
+    table = sample.mapInArrow(pick, "words array<int>, sentence array<int>, n long, _toxic boolean").toArrow()
+    # In a fixed order, whatever the tasks' was.
+    texts = sorted(zip(table.column("_toxic").to_pylist(), table.column("n").to_pylist(), table.column("words").to_pylist(),
+                       table.column("sentence").to_pylist()), key=lambda t: (t[0], t[1], t[2], [s - t[3][0] for s in t[3]]))
+    flat = np.array([w for t in texts for w in t[2]], dtype=np.int64)
+    row = np.repeat(np.arange(len(texts)), [len(t[2]) for t in texts]) if texts else np.zeros(0, np.int64)
+    number = np.array([s for t in texts for s in t[3]], dtype=np.int64)
+    heads = np.append(True, (np.diff(number) != 0) | (np.diff(row) != 0)) if len(flat) else np.zeros(0, bool)
+    rows = row[heads]
+    plain = np.array([t[1] for t in texts], dtype=np.float64) - np.bincount(rows, minlength=len(texts))
+    return fit(flat, np.cumsum(heads) - 1, rows, plain, np.array([int(t[0]) for t in texts]))
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
