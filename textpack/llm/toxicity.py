@@ -109,7 +109,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
           max_train: int = MAX_TRAIN) -> Model:
     """Fit on at most ``max_train`` labelled rows outside the held-out part, the smallest by hash of the key.
 
-    What comes to the driver is two counts for each feature and, of the sample, the telling features of its
+    The keys of the sample are broadcast. What comes to the driver is two counts for each feature and, of the sample, the telling features of its
     sentences. A key with several labels is toxic if any is.
     """
     marks = (labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out(F.col(key)))
@@ -117,7 +117,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     chosen = marks.orderBy(F.xxhash64("_key"), "_key").limit(max_train)
     sample = materialize(
         docs.select(F.col(key).alias("_doc"), F.col(text).alias("text"))
-        .join(chosen, F.col("_doc") == F.col("_key")).select("text", "_toxic"), "labelled-sample")
+        .join(F.broadcast(chosen), F.col("_doc") == F.col("_key")).select("text", "_toxic"), "labelled-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, (1 << BUCKET_BITS) + 1), dtype=np.int64)  # the last place counts texts
