@@ -168,3 +168,28 @@ def test_vocabulary_tables(spark, trained, tmp_path):
         vocabulary.token_ids(ours.vocab_table(spark), ["<|user|>"]).collect()
     with pytest.raises(ValueError, match="two bytes"):
         Vocabulary(tuple((1, 2, 257 + i) for i in range(65536)))
+
+
+def test_a_vocabulary_of_full_size_is_the_librarys(spark):
+    """4,096 tokens: far beyond what is looked up in a dense table."""
+    import json
+
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    tokenizers = pytest.importorskip("tokenizers")
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        merges = json.load(file)["model"]["merges"][:4096 - 257]
+    ids = {c: i + 1 for i, c in enumerate(sorted(K.byte_alphabet()))}
+    table = []
+    for a, b in merges:
+        ids[a + b] = 257 + len(table)
+        table.append((ids[a], ids[b], ids[a + b]))
+    own = Vocabulary(tuple(table))
+    assert own.size == 4096 > K.DENSE_VOCAB
+    library = tokenizers.Tokenizer(tokenizers.models.BPE(vocab=ids, merges=[tuple(m) for m in merges]))
+    library.pre_tokenizer = tokenizers.pre_tokenizers.ByteLevel(add_prefix_space=False)
+    rng = random.Random(11)
+    parts = ["the", " story", "tion", "é", "\U0001f600", "  ", "\n", "'s", "12", "ingly", "aaaa", "==", " Theatre", "漢字"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(400)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {r.i: r.ids for r in rows.select("i", K.encode_ids("t", own).alias("ids")).collect()}
+    assert [got[i] for i in range(400)] == [e.ids for e in library.encode_batch(texts)]

@@ -71,14 +71,11 @@ def _learn(spark: SparkSession, folder: str) -> Vocabulary:
     return bpe.train_vocabulary(bpe.piece_counts(stories), 257 + MERGES)
 
 
-_learned: dict[str, Vocabulary] = {}
-
-
 def learned(spark: SparkSession, folder: str) -> Vocabulary:
-    """The vocabulary learned from the folder's documents, learned once per process."""
-    if folder not in _learned:
-        _learned[folder] = _learn(spark, folder)
-    return _learned[folder]
+    """The vocabulary learned from the folder's documents, read from the table it is written to."""
+    path = scratch_path(spark, "vocabulary")
+    io.save_vocabulary(spark, _learn(spark, folder), path)
+    return io.load_vocabulary(spark, path)
 
 
 def _stories(spark: SparkSession, folder: str) -> DataFrame:
@@ -179,10 +176,7 @@ def load_or_build(spark, folder):
 
 
 def vocab_tables(spark, folder):
-    path = scratch_path(spark, "vocabulary")
-    io.save_vocabulary(spark, learned(spark, folder), path)
-    return io.load_vocabulary(spark, path).vocab_table(spark).withColumn(
-        "id", F.col("id").cast("long"))
+    return learned(spark, folder).vocab_table(spark).withColumn("id", F.col("id").cast("long"))
 
 
 # --- projections and filters ---------------------------------------------------------------
@@ -226,6 +220,24 @@ def token_length_filter(spark, folder):
     return clean.token_length_filter(rendered, MAX_CHAT_TOKENS)
 
 
+def _chat_vocabulary(spark: SparkSession, folder: str) -> Vocabulary:
+    return learned(spark, folder).with_chat_tokens()
+
+
+def token_length_filter_bpe(spark, folder):
+    count = clean.bpe_counter(_chat_vocabulary(spark, folder))
+    rendered = clean.computed_once(
+        clean.clean_pairs(inputs.pairs(spark, folder)).select(*PAIR_ID, T.render_chat("user", "assistant").alias("line")),
+        {"n_tokens": count(F.col("line")).cast("long")})
+    return clean.token_length_filter(rendered, MAX_CHAT_TOKENS).select(*PAIR_ID, "n_tokens")
+
+
+def pack_chat_bpe(spark, folder):
+    """The chat chain on the learned vocabulary: filter by its tokens, shuffle, split and pack."""
+    encoded = encode_chat(inputs.pairs(spark, folder), _chat_vocabulary(spark, folder), BYTE_LIMIT)
+    return _spelled_blocks(pack_chat(encoded, PAIR_ID, CONTEXT)).select("split", "block_id", "tokens")
+
+
 def drop_reason(spark, folder):
     return _labelled(spark, folder).select(*PAIR_ID, "drop_reason")
 
@@ -567,13 +579,13 @@ def queries() -> dict[str, Query]:
         scan_corpus, scan_lines, source_fallback, read_pairs, write_pairs, write_formatted,
         read_formatted, write_packed, load_or_build, vocab_tables,
         py_strip, collapse_ws, render_chat, ascii_ratio, word_set, looks_english,
-        drop_empty_turns, token_length_filter, drop_reason, synth_user_turn, preview,
+        drop_empty_turns, token_length_filter, token_length_filter_bpe, drop_reason, synth_user_turn, preview,
         render_transcript, cut_at_id, strip_eos_text, seed_empty_prompt,
         pretokenize, byte_alphabet, piece_counts, pair_counts, bpe_train, add_special_tokens,
         token_to_id, bpe_encode, assert_vocab_fits, append_eos, bpe_decode, roundtrip_check,
         filter_report, avg_tokens, split_totals, n_sequences, dataset_manifest, corpus_count,
         parse_blocks, pair_turns, seeded_shuffle, exact_split, global_offset, pack_blocks,
-        pack_corpus_bpe, xy_shift, batch_plan, eval_plan, chat_context,
+        pack_corpus_bpe, pack_chat_bpe, xy_shift, batch_plan, eval_plan, chat_context,
         limit_n, limit_pairs, topk_ties, argmax, concat_streams, word_intersect,
         stream_format, stream_parse_blocks, stream_chat_context,
         bigram_counts, next_token_dist, heldout_loss, resize_embeddings,

@@ -136,12 +136,7 @@ kept AS (SELECT conv_id, turn, line, n_tokens FROM labelled WHERE drop_reason =
 
 _USER, _ASSISTANT, _END = (C.CHAT_BYTES.specials[t] for t in CHAT_TOKENS)
 
-CHAT = f"""{CLEANED}, chat AS (
-  SELECT conv_id, turn, [{_USER}] || {byte_ids('"user"')} || [{_ASSISTANT}]
-    || {byte_ids('assistant')} || [{_END}] AS ids
-  FROM rendered WHERE "user" <> '' AND assistant <> '' AND {english('line')}
-    AND strlen("user") + strlen(assistant) + 3 <= {C.BYTE_LIMIT}),
-placed AS (
+SPLIT = f"""placed AS (
   SELECT *, row_number() OVER (ORDER BY md5('{SEED}:' || conv_id || ':' || turn), conv_id, turn) - 1
     AS position FROM chat),
 split AS (
@@ -149,6 +144,13 @@ split AS (
     CASE WHEN position < round_even((SELECT count(*) FROM chat) * {VAL_FRACTION}::DOUBLE, 0)
     THEN 'val' ELSE 'train' END AS split FROM placed)"""
 
+CHAT = f"""{CLEANED}, chat AS (
+  SELECT conv_id, turn, [{_USER}] || {byte_ids('"user"')} || [{_ASSISTANT}]
+    || {byte_ids('assistant')} || [{_END}] AS ids
+  FROM rendered WHERE "user" <> '' AND assistant <> '' AND {english('line')}
+    AND strlen("user") + strlen(assistant) + 3 <= {C.BYTE_LIMIT}),
+{SPLIT}"""
+
 
 def packed(rows: str, part: str, order: str) -> str:
     """CTEs stream(part, idx, id) and blocks(part, block_id, tokens, ids) over rows with ids."""
@@ -285,6 +287,15 @@ def merged_ids(t: str) -> str:
     return f"list_transform({chars}, lambda c: unicode(c) - 65536)"
 
 
+# The chat chain on the learned vocabulary; control tokens have the ids behind its last one.
+CHAT_BPE = f"""{LEARNED}, {CLEANED}, lines_bpe AS (
+  SELECT conv_id, turn, "user" <> '' AND assistant <> '' AND {english('line')} AS fits,
+    [{FIRST_ADDED}] || {merged_ids('"user"')} || [{FIRST_ADDED + 1}] || {merged_ids('assistant')} || [{FIRST_ADDED + 2}] AS ids
+  FROM rendered),
+chat AS (SELECT conv_id, turn, ids FROM lines_bpe WHERE fits AND len(ids) <= {C.BYTE_LIMIT}),
+{SPLIT}, {packed('split', 'split', 'position')}"""
+
+
 def _added(n: int = FIRST_ADDED) -> str:
     return ", ".join(f"({n + i}, {q(t)})" for i, t in enumerate(CHAT_TOKENS))
 
@@ -338,6 +349,9 @@ FROM cleaned WHERE "user" <> '' AND assistant <> ''""",
         "token_length_filter": f"""WITH {CLEANED} SELECT conv_id, turn, n_tokens FROM (
   SELECT conv_id, turn, {PIECES_IN_PAIR} AS n_tokens FROM cleaned)
 WHERE n_tokens <= {MAX_CHAT_TOKENS}""",
+        "token_length_filter_bpe": f"""WITH {CHAT_BPE} SELECT conv_id, turn, len(ids) AS n_tokens
+FROM lines_bpe WHERE len(ids) <= {MAX_CHAT_TOKENS}""",
+        "pack_chat_bpe": f"WITH {CHAT_BPE} SELECT part AS split, block_id, {spell('ids')} AS tokens FROM blocks",
         "drop_reason": f"WITH {LABELLED} SELECT conv_id, turn, drop_reason FROM labelled",
         "synth_user_turn": f"""SELECT doc_id, {q(DEFAULT_USER_TURN)} AS "user", assistant
 FROM (SELECT doc_id, {collapse("coalesce(text, '')")} AS assistant FROM documents)
