@@ -173,8 +173,7 @@ class Searcher:
             new = Repetition(items, len(self.repetitions), sampled)
             self.repetitions.append(new)
             missed = [t for t in missed if not any(
-                (found == trials[t][0]).any()
-                for *_, found in new.hits(trials[t][1], windows_of(np.array([0, len(trials[t][1])]), self.sizes)))]
+                k == trials[t][0] for _, k, *_ in self.find(trials[t][1], np.array([0, len(trials[t][1])]), [new]))]
 
     def edited(self, random: np.random.Generator) -> list[tuple[int, np.ndarray]]:
         """Items with as many random edits as are still to be found; several of each in a small benchmark."""
@@ -189,10 +188,11 @@ class Searcher:
             made.append((k, np.array(words, dtype=np.uint64)))
         return made
 
-    def find(self, words: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+    def find(self, words: np.ndarray, first: np.ndarray,
+             repetitions: list[Repetition] | None = None) -> list[tuple[int, int, int, int, int]]:
         """``(row, item, start, end, edits)`` of the best stretch of each row and item, word numbers in the row."""
         windows = windows_of(first, self.sizes)
-        found = [hit for repetition in self.repetitions for hit in repetition.hits(words, windows)]
+        found = [hit for repetition in repetitions or self.repetitions for hit in repetition.hits(words, windows)]
         if not found:
             return []
         starts, diagonal, item = (np.concatenate(side) for side in zip(*found))
