@@ -200,6 +200,21 @@ def test_scan_and_redact(spark):
     assert secrets.scan(docs.limit(0), secrets.learn(docs.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize("n_bare", [1, 60])
+def test_bare_keys_are_found_among_the_words(spark, n_bare):
+    draw = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    keys = ["".join(draw.choice(letters) for _ in range(32)) for _ in range(300 + n_bare)]
+    parts = ("and", "on", "he", "only", "tion", "which", "streed", "ly", "lamp", "river", "the", "ed")
+    rows = [(i, f"word {''.join(draw.choice(parts) for _ in range(6))} token={k}") for i, k in enumerate(keys[:300])]
+    rows += [(300 + i, f"see {k} there") for i, k in enumerate(keys[300:])]
+    docs = table(spark, rows)
+    formats = secrets.learn(docs)
+    found = {r.doc_id: [(s.start, s.end, s.kind) for s in r.found] for r in secrets.scan(docs, formats).collect()}
+    assert sum(found[300 + i] == [(4, 36, "format")] for i in range(n_bare)) >= 0.9 * n_bare
+    assert sum(any(s[2] == "format" for s in found[i]) for i in range(300)) <= 3
+
+
 # Toxicity
 
 def test_toxicity_learns_sentences(spark):

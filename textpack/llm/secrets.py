@@ -4,6 +4,9 @@ Strings that the patterns find are labelled credentials. A prefix tree of their
 merging states whose observed futures don't differ significantly (Hoeffding bound), which gives
 one probabilistic automaton for each kind, and one for ordinary long words. Every other long word of every
 text is scored by its log likelihood ratio per character between the best kind and ordinary words.
+
+Words without a label are not all ordinary: bare credentials lie among them. Those that fit a kind as its own
+strings do, and better than the classes of the other words, are left out of what ordinary words are learned from.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from statistics import median
 
 import pyarrow as pa
 import xxhash
@@ -34,9 +38,12 @@ LEAST_VALUE = 12
 MAX_LABELLED, MAX_LENGTH = 2000, 128
 #: Significance of a merge, visits below which a state says nothing, and added count of every symbol.
 ALPHA, LEAST_VISITS, ADDED = 0.05, 8, 0.05
-#: Log likelihood ratio per character from which a word is a secret; raised until it is this far above all
-#: ordinary words that were learned from.
-THRESHOLD, MARGIN = 1.0, 0.1
+#: Log likelihood ratio per character from which a word is a secret.
+THRESHOLD = 1.0
+#: Share of a kind's strings that may fit it worse than a word which is not learned from as ordinary.
+LEAST_FIT = 0.05
+#: Rounds in which ordinary words are told from words that are like a kind, at most.
+ROUNDS = 10
 # Character classes: digits, a-f, g-z, A-F, G-Z, joiners, base64 signs, padding.
 _CLASS_OF = {c: k for k, group in enumerate((
     "0123456789", "abcdef", "ghijklmnopqrstuvwxyz", "ABCDEF", "GHIJKLMNOPQRSTUVWXYZ", "_.-", "+/", "=")) for c in group}
@@ -66,6 +73,12 @@ def candidates(text: str, spans: list[tuple[int, int, str, str]]) -> Iterator[re
             yield m
 
 
+def log_shares(seen: list[int]) -> list[float]:
+    """Log probabilities of symbols seen so often."""
+    total = math.log(sum(seen) + ADDED * len(seen))
+    return [math.log(n + ADDED) - total for n in seen]
+
+
 class Automaton:
     """A deterministic automaton with counts: visits, ends and moves of each state."""
 
@@ -143,7 +156,8 @@ class Automaton:
         self.kept = kept
 
     def table(self) -> list[tuple[list[float], list[int]]]:
-        """Log probabilities of the classes and of the end, and the next states; the last state is for what was never seen."""
+        """Log probabilities of the classes and of the end, and the next states; the last state is for what was never
+        seen, where symbols are as likely as in all strings."""
         number = {state: i for i, state in enumerate(self.kept)}
         rows = []
         for state in self.kept:
@@ -151,7 +165,9 @@ class Automaton:
             logs = [math.log(self.passes[state].get(c, 0) + ADDED) - total for c in range(N_CLASSES)]
             rows.append((logs + [math.log(self.ends[state] + ADDED) - total],
                          [number.get(self.moves[state].get(c, -1), len(number)) for c in range(N_CLASSES)]))
-        rows.append(([-math.log(N_CLASSES + 1)] * (N_CLASSES + 1), [len(number)] * N_CLASSES))
+        logs = log_shares([sum(self.passes[s].get(c, 0) for s in self.kept) for c in range(N_CLASSES)]
+                          + [sum(self.ends[s] for s in self.kept)])
+        rows.append((logs, [len(number)] * N_CLASSES))
         return rows
 
 
@@ -164,17 +180,51 @@ def log_likelihood(table: list[tuple[list[float], list[int]]], classes: str) ->
     return total + table[state][0][END]
 
 
+def one_state(strings: list[str]) -> list[tuple[list[float], list[int]]]:
+    """The table of an automaton with a single state; without strings all symbols are alike."""
+    seen = [sum(s.count(str(c)) for s in strings) for c in range(N_CLASSES)] + [len(strings)]
+    return [(log_shares(seen), [0] * N_CLASSES)]
+
+
+def ordinary_of(words: list[str], kinds: list[tuple[list[str], list[tuple[list[float], list[int]]]]]) -> list[str]:
+    """The words that are not like a kind, given as its strings and their table.
+
+    A word is like a kind if its likelihood per character is that of the kind's own strings where those are not
+    learned from (all but the LEAST_FIT lowest), and higher than by the classes of all words that are like none.
+    """
+    found: dict[str, float] = {}
+    for strings, table in kinds:
+        halves = (strings[::2], strings[1::2]) if len(strings) > 1 else (strings, strings)
+        own = sorted(log_likelihood(t, s) / len(s) for t, other in zip([Automaton(h).table() for h in halves], halves[::-1])
+                     for s in other)
+        least = own[int(LEAST_FIT * len(own))]
+        for w in set(words):
+            if (fit := log_likelihood(table, w) / len(w)) >= least:
+                found[w] = max(fit, found.get(w, fit))
+    plain = words
+    for _ in range(ROUNDS):
+        table, last = one_state(plain), plain
+        gains = {w: fit - log_likelihood(table, w) / len(w) for w, fit in found.items()}
+        # At first all words are the measure, credentials too, so only the half that stands out least is kept.
+        most = median(gains.values()) if gains and last is words else 0.0
+        plain = [w for w in words if w not in gains or gains[w] <= most]
+        if plain == last:
+            break
+    return plain
+
+
 class Formats:
     """Automata of all kinds and of ordinary words."""
 
     def __init__(self, labelled: dict[str, list[str]]):
-        tables = {kind: Automaton([v.translate(_TO_CLASSES) for v in values]).table()
-                  for kind, values in sorted(labelled.items()) if values}
-        self.ordinary = tables.pop(FORMAT, None)
-        self.tables = list(tables.values())
+        classes = {kind: [v.translate(_TO_CLASSES) for v in values] for kind, values in sorted(labelled.items())}
+        words = classes.pop(FORMAT, [])
+        kinds = [(values, Automaton(values).table()) for values in classes.values() if values]
+        self.tables = [table for _, table in kinds]
+        plain = ordinary_of(words, kinds)
+        self.ordinary = Automaton(plain).table() if plain else one_state([]) if words else None
+        self.threshold = THRESHOLD
         self.ratio = lru_cache(maxsize=1 << 16)(self._ratio)
-        plain = [self.ratio(v.translate(_TO_CLASSES)) for v in labelled.get(FORMAT, [])]
-        self.threshold = max([THRESHOLD, *(r + MARGIN for r in plain)])
 
     def __getstate__(self):
         return self.ordinary, self.tables, self.threshold
