@@ -378,3 +378,26 @@ def test_quality(spark):
             assert r.kept == (not r.base_failed and r.doc_id < 100)
     assert all(not r.kept for r in rows if r.n_words < 50)
     assert quality.judge(docs.limit(0), labels.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["long", "int"])
+def test_target_counts_all_trusted_texts(spark, kind):
+    rows = [(i, prose(i, 80)) for i in range(60)] + odd_rows()
+    docs = table(spark, rows)
+    labels = spark.createDataFrame([(k, k % 3 and 1) for k in range(60)] + [(None, 1)], f"doc_id {kind}, quality int")
+    even = {r[0] for r in labels.where("pmod(xxhash64(doc_id), 2) = 0").select("doc_id").collect()}
+    total = np.full((2, quality.BUCKETS), quality.SMOOTHING)
+    for k, text in rows:
+        found, _ = quality.bucket_runs(pa.array([text], pa.string()))
+        np.add.at(total[0], found, 1)
+        if k is not None and k in even and k % 3:
+            np.add.at(total[1], found, 1)
+    shares = np.log(total[1] / total[1].sum()) - np.log(total[0] / total[0].sum())
+    expected = {k: [] for k, _ in rows}
+    for k, text in rows:
+        found, _ = quality.bucket_runs(pa.array([text], pa.string()))
+        expected[k].append(shares[found].mean() if len(found) else 0.0)
+    for most in (40_000, 3):
+        judged = quality.judge(docs, labels, max_labelled=most).select("doc_id", "score").collect()
+        for k in expected:
+            assert sorted(s for i, s in judged if i == k) == pytest.approx(sorted(expected[k]), abs=1e-8)
