@@ -60,6 +60,14 @@ def test_pages(page, text):
     assert "\n".join(b["text"] for b in html.parse_page(page)[1]) == text
 
 
+@pytest.mark.parametrize("page", [
+    "<body class='has-sidebar'><article>a</article></body>", "<html class=no-menu><p>a", "<div class='content no-sidebar'><p>a</div>",
+    "<article class='post share-enabled'>a<div class='footer'>b</div></article>", "<main class='widget'>a</main>",
+    "<article class='related'>a</article>", "<div class='social_nav--menu'>b</div><p>a"])
+def test_names_that_only_mention_a_frame(page):
+    assert "\n".join(b["text"] for b in html.parse_page(page)[1]) == "a"
+
+
 def test_frames_are_found_by_the_site(spark):
     """Pages without names: what is alike on all pages of a host goes, what differs stays."""
     def page(host, i):
