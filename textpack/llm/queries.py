@@ -8,9 +8,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textpack.llm import bpe, decontam, html, packing, quality, secrets, simhash, substring, toxicity, urls
+from textpack.llm import (
+    align,
+    bestfit,
+    bpe,
+    decontam,
+    html,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    substring,
+    toxicity,
+    urls,
+    variants,
+)
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+#: One in so many runs of letters loses a letter before spellings are grouped.
+LOST_LETTER_EVERY = 199
 #: Verdict, host and path of each rule of the URL query.
 URL_RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
              ("allow", "com", "/fr/"), ("block", "com", "/de/"))
@@ -72,6 +89,19 @@ def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html.extract(table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return bestfit.pack(table(spark, folder, "documents"), TOKENIZER)
+
+
+def op12_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align.align(table(spark, folder, "documents"), TOKENIZER, PIECE_MODEL)
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    found = variants.with_lost_letters(variants.runs(table(spark, folder, "documents")), LOST_LETTER_EVERY)
+    return variants.group(variants.word_counts(found))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -80,7 +110,8 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (op1_substring_dedup, op2_secret_scan, op3_toxicity, op4_bpe_round_trip, op5_url_filter, op6_simhash,
-             op7_packed_ids, op8_decontamination, op9_quality, op10_html_text, pipeline)
+             op7_packed_ids, op8_decontamination, op9_quality, op10_html_text, op11_best_fit_packing,
+             op12_tokenizer_alignment, op13_spelling_variants, pipeline)
     return {f.__name__: f for f in named}
 
 
