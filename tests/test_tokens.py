@@ -193,3 +193,28 @@ def test_a_vocabulary_of_full_size_is_the_librarys(spark):
     rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
     got = {r.i: r.ids for r in rows.select("i", K.encode_ids("t", own).alias("ids")).collect()}
     assert [got[i] for i in range(400)] == [e.ids for e in library.encode_batch(texts)]
+
+
+@pytest.mark.parametrize("proposed, top, sample", [(256, 20_000, 50_000), (16, 40, 30), (1, 1, 1), (64, 300, 0)])
+def test_guesses_never_change_what_is_learned(spark, monkeypatch, proposed, top, sample):
+    """However few counts and pieces the proposals rest on, down to none."""
+    rng = random.Random(12)
+    parts = ["aaaa", "aba", "abab", "bab", "story", "stories", "sto", "ry", "é", "éé", "caa"]
+    rows = [("".join(rng.choice(parts) for _ in range(rng.randrange(1, 6))) + " ",) for _ in range(400)]
+    monkeypatch.setattr(bpe, "PROPOSED", proposed)
+    monkeypatch.setattr(bpe, "TOP_PAIRS", top)
+    monkeypatch.setattr(bpe, "SAMPLE_PIECES", sample)
+    size = 257 + (8 if proposed == 1 else 60)
+    theirs = library([r[0] for r in rows], size).get_vocab()
+    counts = bpe.piece_counts(spark.createDataFrame(rows, "text string"))
+    assert bpe.train_vocabulary(counts, size).tokens() == sorted(theirs, key=theirs.get)
+
+
+def test_a_vocabulary_of_full_size_is_learned_in_few_rounds(spark):
+    """4,096 tokens over a whole table, the same as the public library's, in many times fewer jobs than merges."""
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text")
+    theirs = library([r.text for r in documents.collect()], 4096).get_vocab()
+    rounds = []
+    ours = bpe.train_vocabulary(bpe.piece_counts(documents), 4096, rounds)
+    assert ours.tokens() == sorted(theirs, key=theirs.get)
+    assert sum(rounds) == len(ours.merges) >= 4096 - 257 and len(rounds) < 200

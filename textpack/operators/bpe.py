@@ -1,19 +1,34 @@
-"""Learning a byte-level vocabulary from the table of distinct pieces."""
+"""Learning a byte-level vocabulary from the table of distinct pieces.
+
+Each merge depends on the counts that the last one left behind, so learning one merge per job takes thousands of jobs, and
+recounting all pairs for each is the whole corpus every time. Here the driver proposes a run of merges, guessed
+from the most frequent pieces. One job makes them on all pieces and returns what each does to the counts of
+pairs, from those pieces alone that hold it. With these exact changes the driver replays the run and accepts merges for as long as the
+most frequent pair of the whole corpus is among them. A wrong guess costs a shorter run, never another result.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textpack.constants import BASE_VOCAB_SIZE, SYMBOL_BASE
+from textpack.constants import BASE_VOCAB_SIZE, MAX_VOCAB_SIZE, SYMBOL_BASE
 from textpack.functions.tokens import byte_symbols, pretokenize
+from textpack.operators.speculation import Predictor, Replay, Step
 from textpack.operators.vocabulary import Vocabulary
 from textpack.session import materialize
 
-# How many of the most frequent pairs are looked at per round.
-TOP_PAIRS = 256
-# The piece table is rewritten after this many merges, to keep the plan short.
-REWRITE_EVERY = 32
+# Pairs whose exact counts the driver follows, merges proposed per round, and the most frequent pieces that
+# proposals are drawn from. They set how long a round's proposal holds, never what is learned.
+TOP_PAIRS = 20_000
+PROPOSED = 256
+SAMPLE_PIECES = 50_000
+# The piece table is rewritten after this many merges.
+REWRITE_EVERY = 1024
 
 
 def piece_counts(rows: DataFrame, text: str = "text") -> DataFrame:
@@ -48,71 +63,171 @@ def pair_counts(symbols: DataFrame) -> DataFrame:
         (F.ascii(F.substring("pair", 2, 1)) - SYMBOL_BASE).alias("rhs"), "n")
 
 
-def independent_prefix(top: list[tuple[str, int]], complete: bool) -> list[str]:
-    """Leading pairs whose merges do not change each other's rank, so one round can apply all.
-
-    ``top`` is sorted by count descending, then by ids. Merging (a, b) changes only pairs (x, a)
-    and (b, y), and each pair it creates is at most as frequent as one of those. A further pair may
-    therefore join as long as every pair at least as frequent as it leaves the accepted ones alone.
+class _Pieces:
+    """Symbols of many pieces in one array, changed merge by merge."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        column = batch.column(0).cast(pa.large_string())
+        text = "".join(column.to_pylist())
+        self.symbols = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.int64) - SYMBOL_BASE
+        lengths = np.array([len(t) for t in column.to_pylist()], dtype=np.int64)
+        self.owner = np.repeat(np.arange(len(lengths)), lengths)
+        self.n = batch.column(1).to_numpy()
+
+    def keep(self, pieces: np.ndarray) -> None:
+        """Forget the other pieces' symbols."""
+        inside = pieces[self.owner]
+        self.symbols, self.owner = self.symbols[inside], self.owner[inside]
+
+    def pairs(self, of: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Key and piece of each two neighbours, of all symbols or those at sorted places."""
+        symbols, owner = (self.symbols, self.owner) if of is None else (self.symbols[of], self.owner[of])
+        inside = owner[1:] == owner[:-1]
+        return (symbols[:-1] * MAX_VOCAB_SIZE + symbols[1:])[inside], owner[:-1][inside]
+
+    def hits(self, a: int, b: int) -> np.ndarray:
+        """Where the pair is merged: of overlapping places every other one, from the left."""
+        s, o = self.symbols, self.owner
+        at = np.flatnonzero((s[:-1] == a) & (s[1:] == b) & (o[:-1] == o[1:]))
+        if a == b and len(at):
+            run = np.concatenate([[0], np.cumsum(np.diff(at) > 1)])
+            first = np.flatnonzero(np.concatenate([[True], np.diff(run) > 0]))
+            at = at[(np.arange(len(at)) - first[run]) % 2 == 0]
+        return at
+
+    def merge(self, at: np.ndarray, merged: int) -> None:
+        keep = np.ones(len(self.symbols), dtype=bool)
+        keep[at + 1] = False
+        self.symbols[at] = merged
+        self.symbols, self.owner = self.symbols[keep], self.owner[keep]
+
+    def merge_all(self, merges: list[tuple[int, int, int]]) -> None:
+        for a, b, merged in merges:
+            at = self.hits(a, b)
+            if len(at):
+                self.merge(at, merged)
+
+    def places_of(self, pieces: np.ndarray) -> np.ndarray:
+        """Places of the symbols of sorted pieces."""
+        starts, ends = np.searchsorted(self.owner, pieces), np.searchsorted(self.owner, pieces, side="right")
+        sizes = ends - starts
+        return np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
+
+    def texts(self) -> list[str]:
+        text = (self.symbols + SYMBOL_BASE).astype("<u4").tobytes().decode("utf-32-le")
+        ends = np.searchsorted(self.owner, np.arange(len(self.n) + 1))
+        return [text[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+
+def _summed(keys: list[np.ndarray], changes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    unique, which = np.unique(np.concatenate(keys), return_inverse=True)
+    total = np.zeros(len(unique), dtype=np.int64)
+    np.add.at(total, which, np.concatenate(changes))
+    return unique, total
+
+
+def count_changes(state: DataFrame, pending: list[tuple[int, int, int]], steps: list[Step]) -> DataFrame:
+    """What each of the steps, made one after the other, changes: (step, pair, change), summed over all pieces.
+
+    ``state`` holds (symbols, n); ``pending`` are merges that it hasn't gone through yet.
     """
-    accepted = [top[0][0]]
-    floor = 0 if complete else top[-1][1]
-    for pair, n in top[1:]:
-        left = {p[0] for p in accepted}
-        right = {p[1] for p in accepted}
-        if left & right or n <= floor:
-            break
-        rivals = (q for q, m in top if m >= n and q not in accepted)
-        if any(q[0] in right or q[1] in left for q in rivals):
-            break
-        accepted.append(pair)
-    return accepted
-
-
-def train_vocabulary(counts: DataFrame, vocab_size: int = BASE_VOCAB_SIZE) -> Vocabulary:
+    merges = [(s.a, s.b, s.merged) for s in steps]
+    known = min((s.merged for s in steps if s.new), default=MAX_VOCAB_SIZE)
+    starters = np.array([a * MAX_VOCAB_SIZE + b for a, b, _ in merges if a < known and b < known])
+    most = 1 << 20
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys: list[np.ndarray] = []
+        changes: list[np.ndarray] = []
+        for batch in batches:
+            pieces = _Pieces(batch)
+            pieces.merge_all(pending)
+            # A piece without any of the pairs that exist by now goes through all steps unchanged.
+            pair, owner = pieces.pairs()
+            touched = np.zeros(len(pieces.n), dtype=bool)
+            touched[owner[np.isin(pair, starters)]] = True
+            pieces.keep(touched)
+            for k, (a, b, merged) in enumerate(merges):
+                at = pieces.hits(a, b)
+                if not len(at):
+                    continue
+                changed = np.unique(pieces.owner[at])
+                for sign in (-1, 1):
+                    pair, owner = pieces.pairs(pieces.places_of(changed))
+                    keys.append(pair + k * MAX_VOCAB_SIZE ** 2)
+                    changes.append(sign * pieces.n[owner])
+                    if sign < 0:
+                        pieces.merge(at, merged)
+            if sum(map(len, keys)) > most:
+                key, change = _summed(keys, changes)
+                keys, changes = [key[change != 0]], [change[change != 0]]
+        if keys:
+            key, change = _summed(keys, changes)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key // MAX_VOCAB_SIZE ** 2, pa.int32()), pa.array(key % MAX_VOCAB_SIZE ** 2), pa.array(change)],
+                names=["step", "pair", "change"])
+
+    made = state.mapInArrow(run, "step int, pair long, change long")
+    return made.groupBy("step", "pair").agg(F.sum("change").alias("change")).where("change <> 0")
+
+
+def merged_pieces(state: DataFrame, merges: list[tuple[int, int, int]]) -> DataFrame:
+    """Pieces (symbols, n) after the merges; those that became one symbol have no pair left and go, and
+    those that became alike are one."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pieces = _Pieces(batch)
+            pieces.merge_all(merges)
+            yield pa.RecordBatch.from_arrays([pa.array(pieces.texts(), pa.string()), batch.column(1)], names=["symbols", "n"])
+
+    return state.mapInArrow(run, "symbols string, n long").where(F.char_length("symbols") > 1).groupBy("symbols").agg(
+        F.sum("n").alias("n"))
+
+
+def _ids(symbols: str) -> list[int]:
+    return [ord(c) - SYMBOL_BASE for c in symbols]
+
+
+def train_vocabulary(counts: DataFrame, vocab_size: int = BASE_VOCAB_SIZE, rounds: list[int] | None = None) -> Vocabulary:
     """Learn merges from (piece, n) until ``vocab_size`` tokens exist or no pair is left.
 
-    The most frequent pair is merged first, ties going to the smallest (left id, right id). Only the
-    leading pairs of each round reach the driver; the piece table stays distributed, and the current
-    state is a written table that survives the loss of executors.
+    The most frequent pair is merged first, ties going to the smallest (left id, right id). The driver holds at most TOP_PAIRS
+    counts, SAMPLE_PIECES pieces and the changes that PROPOSED merges make to pairs that can still matter; the piece
+    table stays distributed, and the current state is a written table that survives the loss of executors.
+    ``rounds`` receives the number of merges accepted in each round.
     """
     vocabulary = Vocabulary()
-    merges: list[tuple[int, int, int]] = []
-    written = dict(zip(vocabulary.tokens(), range(vocabulary.size)))
     tokens = vocabulary.tokens()
-    state = materialize(with_symbols(counts).select("symbols", "n"), "pieces")
-    pending = 0
+    written = {token: i for i, token in enumerate(tokens)}
+    merges: list[tuple[int, int, int]] = []
+    pending: list[tuple[int, int, int]] = []
+    state = materialize(with_symbols(counts).where(F.char_length("symbols") > 1).select("symbols", "n"), "pieces")
+    sample = state.orderBy(F.desc("n"), "symbols").limit(SAMPLE_PIECES).collect()
+    predictor = Predictor([(_ids(r["symbols"]), r["n"]) for r in sample])
+    replay = None
     while len(tokens) < vocab_size:
-        rows = symbol_pair_counts(state).orderBy(F.desc("n"), "pair").limit(TOP_PAIRS).collect()
-        if not rows:
-            break
-        top = [(r.pair, r.n) for r in rows]
-        batch = []
-        for pair in independent_prefix(top, complete=len(top) < TOP_PAIRS):
-            a, b = (ord(c) - SYMBOL_BASE for c in pair)
-            token = tokens[a] + tokens[b]
-            known = written.get(token)
-            if known is None:
-                known = written[token] = len(tokens)
-                tokens.append(token)
-                batch.append((a, b, known))
-                if len(tokens) == vocab_size:
-                    break
-            else:
-                # Another way to write an existing token: counts of its pairs may grow.
-                batch.append((a, b, known))
+        if replay is None:
+            if pending:
+                state, pending = materialize(merged_pieces(state, pending), "pieces"), []
+            top = symbol_pair_counts(state).orderBy(F.desc("n"), "pair").limit(TOP_PAIRS).collect()
+            if not top:
                 break
-        merges.extend(batch)
-        symbols = F.col("symbols")
-        for a, b, merged in batch:
-            symbols = F.replace(symbols, F.lit(chr(SYMBOL_BASE + a) + chr(SYMBOL_BASE + b)),
-                                F.lit(chr(SYMBOL_BASE + merged)))
-        state = state.select(symbols.alias("symbols"), "n")
-        pending += len(batch)
-        if pending >= REWRITE_EVERY:
-            # Pieces that became one symbol have no pair left to count.
-            state = materialize(
-                state.where(F.char_length("symbols") > 1).groupBy("symbols").agg(
-                    F.sum("n").alias("n")), "pieces")
-            pending = 0
+            floor = top[-1]["n"] if len(top) == TOP_PAIRS else 0
+            replay = Replay({tuple(_ids(r["pair"])): r["n"] for r in top}, floor)
+        steps = predictor.propose(replay.counts, replay.floor, tokens, written, min(PROPOSED, vocab_size - len(tokens)))
+        if not steps:  # what is left lies under the floor
+            replay = None
+            continue
+        matters = (F.col("change") < 0) | (F.col("change") >= replay.floor)
+        found = count_changes(state, pending, steps).where(matters).toArrow()
+        accepted, complete = replay.accept(steps, found, tokens, written)
+        merges.extend(accepted)
+        pending.extend(accepted)
+        predictor.merge(accepted)
+        if rounds is not None:
+            rounds.append(len(accepted))
+        if not complete:
+            replay = None
+        elif len(pending) >= REWRITE_EVERY:
+            state, pending = materialize(merged_pieces(state, pending), "pieces"), []
     return Vocabulary(tuple(merges))
