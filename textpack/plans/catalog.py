@@ -7,7 +7,7 @@ another engine's.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -508,6 +508,13 @@ def _staged(spark: SparkSession, rows: DataFrame, late: Column, key: str) -> Dat
     return jobs.read_table_stream(spark, f"{path}/step=*", rows.schema, files_per_batch=16)
 
 
+def _routed(stream: DataFrame, key: str, hot: list, keyed: Callable, chunked: Callable) -> list[tuple[DataFrame, Callable]]:
+    """The job of most keys, and that of hot ones if there are any, each with its part of the stream."""
+    if not hot:
+        return [(stream, keyed)]
+    return [(stream.where(~F.col(key).isin(hot)), keyed), (stream.where(F.col(key).isin(hot)), chunked)]
+
+
 def stream_format(spark, folder):
     pairs = inputs.pairs(spark, folder)
     out = scratch_path(spark, "out")
@@ -522,18 +529,21 @@ def stream_parse_blocks(spark, folder):
     out = scratch_path(spark, "out")
     # Cut inside blocks: turn 3 is a reply whose request came with the first step.
     stream = _staged(spark, lines, F.col("line_no") >= 3 * inputs.LINES_PER_TURN, "src")
-    jobs.stream_parse_blocks(stream, out, scratch_path(spark, "query"),
-                             LINE_WIDTH).awaitTermination()
-    return spark.read.parquet(f"{out}/batch=*")
+    hot = jobs.hot_keys(lines, "src")
+    for i, (part, job) in enumerate(_routed(stream, "src", hot, jobs.stream_parse_blocks, partial(
+            jobs.stream_parse_blocks_chunked, width=LINE_WIDTH))):
+        job(part, f"{out}/part={i}", scratch_path(spark, "query")).awaitTermination()
+    return spark.read.parquet(f"{out}/part=*/batch=*")
 
 
 def stream_chat_context(spark, folder):
     turns = inputs.conversations(spark, folder)
     out = scratch_path(spark, "out")
     stream = _staged(spark, turns, F.col("turn") >= 3, "conv_id")
-    jobs.stream_chat_context(stream, CHAT_BYTES, out, scratch_path(spark, "query"),
-                             CHAT_CONTEXT).awaitTermination()
-    shown = spark.read.parquet(f"{out}/batch=*")
+    for i, (part, job) in enumerate(_routed(stream, "conv_id", jobs.hot_keys(turns, "conv_id"),
+                                            jobs.stream_chat_context, jobs.stream_chat_context_chunked)):
+        job(part, CHAT_BYTES, f"{out}/part={i}", scratch_path(spark, "query"), CHAT_CONTEXT).awaitTermination()
+    shown = spark.read.parquet(f"{out}/part=*/batch=*")
     return shown.select("conv_id", "turn", F.col("n_pairs").cast("long"),
                         spell("ids").alias("ids"))
 

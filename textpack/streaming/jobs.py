@@ -1,11 +1,12 @@
 """The batch operators on streams.
 
 Formatting is stateless and runs as it is. Parsing and chat context keep state between micro-batches:
-what is still open per source or conversation. Each micro-batch runs the batch operator over the
-carried rows and the new ones, so a source that holds a large share of a micro-batch is spread over
-many tasks just as in batch, which a keyed state operator could not do.
+what is still open per source or conversation. That state is kept by key in Spark's state store (``keyed``), so a
+micro-batch touches the state of its own keys only.
 
-The carried rows are written tables, dealt to a fixed number of buckets by a hash of the key. A
+All new rows of a key are one group there. A key that holds a large share of all rows (``hot_keys``) belongs on the
+chunked jobs: each micro-batch runs the batch operator over the carried rows and the new ones, and the rows of such a key are
+spread over many tasks just as in batch. The carried rows are written tables, dealt to a fixed number of buckets by a hash of the key. A
 micro-batch reads and writes only the buckets that its own keys fall in, so its cost follows its own size
 and not the number of keys ever seen. A small index says which batch wrote each bucket last. A
 micro-batch that is run again after a failure reads the index of the batch before it and overwrites its
@@ -26,11 +27,13 @@ from textpack.operators.clean import Counter, format_pairs, piece_counter
 from textpack.operators.context import context_of, place_turns, retained_turns
 from textpack.operators.ordering import CHUNK_WIDTH
 from textpack.operators.vocabulary import Vocabulary
+from textpack.streaming import keyed
 
 Step = Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
 
-# Buckets of the carried rows, and so the rows of the index.
+# Buckets of the carried rows, and so the rows of the index; rows from which on a key is hot.
 CARRY_BUCKETS = 256
+HOT_ROWS = 1_000_000
 # Process what is there and stop; pass ``{"processingTime": "1 minute"}`` and the like to go on.
 ONCE = {"availableNow": True}
 
@@ -94,8 +97,35 @@ def run_with_carry(stream: DataFrame, key: str, step: Step, out: str, checkpoint
         "checkpointLocation", f"{checkpoint}/query").trigger(**trigger).start()
 
 
-def stream_parse_blocks(lines: DataFrame, out: str, checkpoint: str,
-                        width: int = CHUNK_WIDTH, trigger: dict = ONCE) -> StreamingQuery:
+def hot_keys(rows: DataFrame, key: str, least: int = HOT_ROWS) -> list:
+    """Keys of at least ``least`` rows, to be sent to the chunked jobs; at most one for each ``least`` rows there are."""
+    return [r[0] for r in rows.groupBy(key).count().where(F.col("count") >= least).select(key).collect()]
+
+
+def write_batches(stream: DataFrame, out: str, checkpoint: str, trigger: dict = ONCE) -> StreamingQuery:
+    """Each micro-batch as a folder of its own, which a repeated run of the same micro-batch overwrites."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoint}/query").trigger(**trigger).start()
+
+
+def stream_parse_blocks(lines: DataFrame, out: str, checkpoint: str, idle_ms: int | None = None,
+                        trigger: dict = ONCE) -> StreamingQuery:
+    """Parse a stream of lines (src, line_no, line); the state of a source is its open block."""
+    return write_batches(keyed.parsed(lines, idle_ms), out, checkpoint, trigger)
+
+
+def stream_chat_context(turns: DataFrame, vocabulary: Vocabulary, out: str, checkpoint: str,
+                        context_length: int = CONTEXT_LENGTH, idle_ms: int | None = None,
+                        trigger: dict = ONCE) -> StreamingQuery:
+    """Context of every user turn in a stream (conv_id, turn, role, text); the state of a conversation is the pairs
+    that may still fit, at most C tokens, and a request that waits for its reply."""
+    return write_batches(keyed.contexts(turns, vocabulary, context_length, idle_ms), out, checkpoint, trigger)
+
+
+def stream_parse_blocks_chunked(lines: DataFrame, out: str, checkpoint: str,
+                                width: int = CHUNK_WIDTH, trigger: dict = ONCE) -> StreamingQuery:
     """Parse a stream of lines (src, line_no, line); the carried state is the open block."""
 
     def step(carried: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -106,9 +136,9 @@ def stream_parse_blocks(lines: DataFrame, out: str, checkpoint: str,
     return run_with_carry(lines.select("src", "line_no", "line"), "src", step, out, checkpoint, trigger)
 
 
-def stream_chat_context(turns: DataFrame, vocabulary: Vocabulary, out: str, checkpoint: str,
-                        context_length: int = CONTEXT_LENGTH,
-                        width: int = CHUNK_WIDTH, trigger: dict = ONCE) -> StreamingQuery:
+def stream_chat_context_chunked(turns: DataFrame, vocabulary: Vocabulary, out: str, checkpoint: str,
+                                context_length: int = CONTEXT_LENGTH,
+                                width: int = CHUNK_WIDTH, trigger: dict = ONCE) -> StreamingQuery:
     """Context of every user turn in a stream (conv_id, turn, role, text).
 
     The carried state is the pairs that may still fit, at most C tokens per conversation, and the
