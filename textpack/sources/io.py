@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -14,6 +16,7 @@ from textpack.constants import MAX_VOCAB_SIZE
 from textpack.operators.vocabulary import MERGES_SCHEMA, VOCAB_SCHEMA, Vocabulary
 
 PAIR_SCHEMA = "user string, assistant string"
+MARK_SCHEMA = "place string, built long"
 VALIDATION_ALIASES = {"validation": "val"}
 
 
@@ -99,7 +102,7 @@ def load_or_build(spark: SparkSession, root: str, split: str, build: Callable[[]
     """Blocks of one split, from the cached table if it was built with the same parameters.
 
     The key covers every merge and control token of the vocabulary and all of ``parameters``, which must name
-    whatever else decides the blocks. A table counts once the mark that is written after it is there. A
+    whatever else decides the blocks. A table counts once a mark that names its folder is written after it. A
     chat table (``chat_`` prefix) stands in when there is no plain one; ``validation`` finds ``val``.
     ``build`` returns the blocks of all splits; ``force`` builds again.
     """
@@ -107,14 +110,24 @@ def load_or_build(spark: SparkSession, root: str, split: str, build: Callable[[]
     plain, chat = f"{root}/{key}", f"{root}/chat_{key}"
     if not force:
         for path in (plain, chat):
-            try:
-                spark.read.parquet(f"{path}.done")
-                return read_packed(spark, path, split)
-            except AnalysisException:
-                continue
-    write_packed(build(), plain)
-    spark.range(1, numPartitions=1).write.mode("overwrite").parquet(f"{plain}.done")
-    return read_packed(spark, plain, split)
+            place = _marked(spark, f"{path}.done")
+            if place is not None:
+                return read_packed(spark, place, split)
+    # Every build has a folder of its own, so nobody's table changes under a reader, and a build that dies leaves
+    # no mark on what it wrote.
+    place = f"{plain}-{uuid.uuid4().hex}"
+    write_packed(build(), place)
+    spark.createDataFrame([(place, time.time_ns())], MARK_SCHEMA).coalesce(1).write.mode("append").parquet(f"{plain}.done")
+    return read_packed(spark, place, split)
+
+
+def _marked(spark: SparkSession, marks: str) -> str | None:
+    """The folder of the last finished build; a folder without marks names none."""
+    try:
+        last = spark.read.schema(MARK_SCHEMA).parquet(marks).orderBy(F.desc("built"), "place").first()
+    except AnalysisException:
+        return None
+    return last["place"] if last else None
 
 
 def save_vocabulary(spark: SparkSession, vocabulary: Vocabulary, path: str) -> None:
