@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -179,6 +179,8 @@ def split_and_place(encoded: DataFrame, row_id: list[str], fraction: float = VAL
         narrow, F.struct("_key", *row_id), hash_buckets("_key"),
         sums={"position": F.lit(1).cast("long"), "start": F.col("n_tokens").cast("long")},
         totals={"_total": "position"}).withColumn("split", _split_column(fraction))
+    # Read twice, placed once.
+    placed = materialize(placed.select(*row_id, "n_tokens", "position", "start", "split"), "placed")
     val_tokens = placed.where("split = 'val'").agg(
         F.coalesce(F.sum("n_tokens"), F.lit(0))).scalar()
     own = F.col("start") - F.when(F.col("split") == "train", val_tokens).otherwise(0)
@@ -186,26 +188,63 @@ def split_and_place(encoded: DataFrame, row_id: list[str], fraction: float = VAL
     return encoded.join(places, row_id, "left")
 
 
+def _before(columns: list[str], bound: Row) -> Column:
+    """Rows that sort before the bound, column by column; nulls come first."""
+    first, rest = columns[0], columns[1:]
+    less = F.lit(False) if bound[first] is None else F.col(first).isNull() | (F.col(first) < F.lit(bound[first]))
+    return less | (_at(columns[:1], bound) & _before(rest, bound)) if rest else less
+
+
+def _at(columns: list[str], bound: Row) -> Column:
+    return reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(bound[c])) for c in columns])
+
+
+def nth_smallest(rows: DataFrame, columns: list[str], n: int) -> tuple[Row | None, int]:
+    """The ``n``-th row (from 1) in the order of the columns, and how many rows sort before it; none if there
+    are fewer. Give the columns alone: they are dealt to ranges, and only the range that holds the row is sorted."""
+    ranged = in_ranges(rows.select(*columns), *columns)
+    counts = sorted(map(tuple, ranged.groupBy(RANGE).agg(F.count(F.lit(1))).collect()))  # a row per shuffle partition
+    below = 0
+    for number, size in counts:
+        if below + size >= n:
+            break
+        below += size
+    else:
+        return None, below
+    inside = ranged.where(F.col(RANGE) == number).groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.orderBy(*columns).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = inside.withColumn("_upto", F.sum("_n").over(upto)).where(F.col("_upto") >= n - below)
+    bound = found.orderBy("_upto").first()
+    return bound, below + bound["_upto"] - bound["_n"]
+
+
 def limit_n(df: DataFrame, key: str | list[str], n: int) -> DataFrame:
     """The first ``n`` rows in the order of one or more orderable columns.
 
-    Rows of equal keys are told apart by a hash of all their columns, so the result is the same in
-    every run; rows alike in all columns are interchangeable. Ranges of the key that lie below the limit
-    are kept as they are, and only the one that it cuts is sorted.
+    The last key that belongs to them is selected first, from the keys alone; the rows are then a filter on the key, which
+    sources can push down, and no other column is shuffled or written. Where that key has more rows than are left
+    to take, they are told apart by a hash of all their columns in the same way, so the result is the same in every run;
+    rows alike in all columns are interchangeable.
     """
     if n < 1:
         raise ValueError("the limit must be at least 1")
     keys = [key] if isinstance(key, str) else key
-    order = [*keys, "_tie"]
-    rows = in_ranges(df.withColumn("_tie", F.xxhash64(*df.columns)), *order)
-    counts = rows.groupBy(RANGE).agg(F.count(F.lit(1)).alias("_n"))
-    below = F.sum("_n").over(Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1))
-    bases = counts.select(RANGE, "_n", F.coalesce(below, F.lit(0)).alias("_below")).where(F.col("_below") < n)
-    found = rows.join(bases, RANGE)
-    cut = F.col("_below") + F.col("_n") > n
-    rank = F.row_number().over(Window.partitionBy(RANGE).orderBy(*order))
-    last = found.where(cut).withColumn("_rank", rank).where(F.col("_below") + F.col("_rank") <= n)
-    return found.where(~cut).select(df.columns).unionByName(last.select(df.columns))
+    bound, below = nth_smallest(df, keys, n)
+    if bound is None:
+        return df
+    # The first column alone is a filter that sources understand.
+    if bound[keys[0]] is None:
+        near = df.where(F.col(keys[0]).isNull())
+    else:
+        near = df.where(F.col(keys[0]).isNull() | (F.col(keys[0]) <= F.lit(bound[keys[0]])))
+    if bound["_n"] == n - below:
+        return near.where(_before(keys, bound) | _at(keys, bound))
+    tied = near.where(_at(keys, bound)).withColumn("_tie", F.xxhash64(*df.columns))
+    last, fewer = nth_smallest(tied, ["_tie"], n - below)
+    alike = tied.where(F.col("_tie") == last["_tie"]).limit(1)
+    copies = F.explode(F.sequence(F.lit(1), F.lit(n - below - fewer).cast("long")))
+    return near.where(_before(keys, bound)).unionByName(tied.where(F.col("_tie") < last["_tie"]).select(df.columns)) \
+        .unionByName(alike.select(*df.columns, copies.alias("_copy")).select(df.columns))
 
 
 def with_previous(df: DataFrame, partition: str, order: str, columns: list[str],
