@@ -114,3 +114,23 @@ def test_lines_of_rows(spark):
     got = io.lines_of_rows(df, "doc_id").orderBy("src", "line_no").select(
         "src", F.col("line_no").cast("long"), "line")
     assert [tuple(r) for r in got.collect()] == [(1, 0, "a"), (1, 1, ""), (1, 2, "b"), (2, 0, "")]
+
+
+def test_a_build_that_dies_leaves_the_last_one(spark, tmp_path):
+    """Neither a forced build under way nor one that fails changes what readers of the last one see."""
+    def blocks(value):
+        return spark.createDataFrame([("train", 0, [value])], "split string, block_id long, tokens array<int>")
+
+    def load(build, force=False):
+        return io.load_or_build(spark, f"{tmp_path}", "train", build, Vocabulary(), force)
+
+    held = load(lambda: blocks(1))
+
+    def dying():
+        return blocks(2).withColumn("tokens", F.expr("IF(block_id = 0, raise_error('killed'), tokens)"))
+
+    with pytest.raises(Exception, match="killed"):
+        load(dying, force=True)
+    assert [r.tokens for r in load(dying).collect()] == [[1]]
+    assert [r.tokens for r in load(lambda: blocks(3), force=True).collect()] == [[3]]
+    assert [r.tokens for r in held.collect()] == [[1]] and [r.tokens for r in load(dying).collect()] == [[3]]

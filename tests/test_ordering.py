@@ -125,3 +125,25 @@ def test_concatenation_order(spark):
     out = O.running(whole, F.struct("part", "key"), O.range_buckets(), sums={"start": F.col("n")})
     assert sorted((r.part, r.key, r.start) for r in out.collect()) == [
         (0, 1, 0), (0, 9, 3), (1, 0, 5), (1, 4, 6)]
+
+
+def test_a_limit_shuffles_and_writes_keys_alone(spark, tmp_path, monkeypatch):
+    spark.range(5000).selectExpr("id AS k", "repeat(cast(id AS string), 50) AS text").write.parquet(f"{tmp_path}/t")
+    written = []
+    kept = O.materialize
+    monkeypatch.setattr(O, "materialize", lambda df, name: (written.append(df.columns), kept(df, name))[1])
+    cut = O.limit_n(spark.read.parquet(f"{tmp_path}/t"), "k", 1234)
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.k for r in cut.select("k").collect()) == list(range(1234))
+    assert all(set(columns) <= {"k", O.RANGE} for columns in written)
+    assert "Exchange" not in plan and "LessThanOrEqual(k,1233)" in plan
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 8, 9, 13, 14, 15, 30])
+def test_limit_of_ties_and_nulls(spark, n):
+    rows = [(None, None, "a"), (None, 1, "b"), (1, None, "c"), (1, 2, "d"), (1, 2, "e"), (1, 2, "e"), (1, 2, "e"), (1, 2, "f"),
+            (1, 3, None), (2, 0, "g"), (2, 0, "g"), (2, 0, "g"), (2, 0, "h"), (3, 3, "i"), (3, 3, "j")]
+    df = spark.createDataFrame(rows, "a int, b int, c string")
+    got = sorted(map(tuple, O.limit_n(df, ["a", "b"], n).collect()), key=repr)
+    order = [(r.a, r.b, r.c) for r in df.orderBy("a", "b", F.xxhash64("a", "b", "c")).collect()]
+    assert got == sorted(order[:n], key=repr)

@@ -7,7 +7,7 @@ from textpack.functions.tokens import byte_ids
 from textpack.operators import ordering, pack
 from textpack.operators.vocabulary import Vocabulary
 from textpack.plans.chat import encode_chat, pack_chat
-from textpack.plans.corpus import pack_corpus
+from textpack.plans.corpus import pack_corpus, place_corpus
 
 
 def place(spark, lengths):
@@ -106,3 +106,53 @@ def ordering_key(i):
     import hashlib
 
     return hashlib.md5(f"42:{i}".encode()).hexdigest()
+
+
+def narrow_exchanges(df):
+    """Exchanges of the plan and whether ids pass through any but the last."""
+    spark = df.sparkSession
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = df._jdf.sparkSession().sessionState().executePlan(
+            df._jdf.queryExecution().analyzed(), df._jdf.queryExecution().mode()).executedPlan().toString()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    return [line for line in plan.splitlines() if "Exchange" in line], plan
+
+
+def test_ids_are_not_shuffled_to_meet_their_places(spark):
+    rows = spark.createDataFrame([(i, "the story of a lamp " * (i % 7)) for i in range(200)], "doc_id long, text string")
+    placed = place_corpus(rows, "doc_id", Vocabulary())
+    exchanges, plan = narrow_exchanges(placed)
+    ids_side = next(line for line in plan.splitlines() if "FileScan" in line and "ids" in line)
+    assert len(exchanges) == 1 and "Bucketed: true" in ids_side
+    pairs = spark.createDataFrame(
+        [(i, 0, "the dog and a cat", "she said that it was in the house " * (i % 5 + 1)) for i in range(90)],
+        "conv_id long, turn long, user string, assistant string")
+    encoded = encode_chat(pairs, Vocabulary().with_chat_tokens(), 1000, ["conv_id", "turn"])
+    exchanges, plan = narrow_exchanges(ordering.split_and_place(encoded, ["conv_id", "turn"]))
+    assert "Bucketed: true" in plan and len([e for e in exchanges if "hashpartitioning(conv_id" in e]) == 1
+
+
+@pytest.mark.parametrize("lengths", [[1], [4], [5], [9, 1, 30], [3, 3, 3, 0, 17, 4, 4, 8], [40]])
+def test_whole_blocks_are_cut_in_place(spark, lengths):
+    """Rows shorter than, as long as and many times longer than a block, starting anywhere."""
+    stream, rows = [], []
+    for i, n in enumerate(lengths):
+        ids = list(range(1000 * i, 1000 * i + n))
+        rows.append((ids, len(stream)))
+        stream += ids
+    got = pack.pack_blocks(spark.createDataFrame(rows, "ids array<int>, start long"), 4).collect()
+    assert {r.block_id: r.tokens for r in got} == {
+        i: stream[4 * i:4 * i + 5] for i in range(max(0, (len(stream) - 1) // 4))} and len(got) == max(0, (len(stream) - 1) // 4)
+
+
+def test_only_shares_of_broken_blocks_are_exchanged(spark):
+    rows = spark.createDataFrame([([1] * 4001, 0), ([2] * 3999, 4001)], "ids array<int>, start long")
+    shared = pack.pack_blocks(rows, 4)
+    assert shared.count() == 1999
+    before_group = [line for line in shared._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Generate" in line]
+    assert len(before_group) == 2  # whole blocks, and at most four shares a row

@@ -185,18 +185,30 @@ def split_and_place(encoded: DataFrame, row_id: list[str], fraction: float = VAL
         F.coalesce(F.sum("n_tokens"), F.lit(0))).scalar()
     own = F.col("start") - F.when(F.col("split") == "train", val_tokens).otherwise(0)
     places = placed.select(*row_id, "position", "split", own.alias("start"))
+    # Only the places are shuffled if the ids lie in buckets of the row id.
     return encoded.join(places, row_id, "left")
 
 
-def _before(columns: list[str], bound: Row) -> Column:
-    """Rows that sort before the bound, column by column; nulls come first."""
-    first, rest = columns[0], columns[1:]
-    less = F.lit(False) if bound[first] is None else F.col(first).isNull() | (F.col(first) < F.lit(bound[first]))
-    return less | (_at(columns[:1], bound) & _before(rest, bound)) if rest else less
+def _literal(value) -> Column:
+    if isinstance(value, Row):
+        return F.struct(*[_literal(v).alias(name) for name, v in value.asDict().items()])
+    return F.lit(value)
+
+
+def _upto(column: str, value) -> Column:
+    """Rows whose value is the given one or sorts before it; nulls come first."""
+    return F.col(column).isNull() if value is None else F.col(column).isNull() | (F.col(column) <= _literal(value))
 
 
 def _at(columns: list[str], bound: Row) -> Column:
-    return reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(bound[c])) for c in columns])
+    return reduce(Column.__and__, [F.col(c).eqNullSafe(_literal(bound[c])) for c in columns])
+
+
+def _before(columns: list[str], bound: Row) -> Column:
+    """Rows that sort before the bound, column by column."""
+    first, rest = columns[0], columns[1:]
+    less = _upto(first, bound[first]) & ~_at([first], bound)
+    return less | (_at([first], bound) & _before(rest, bound)) if rest else less
 
 
 def nth_smallest(rows: DataFrame, columns: list[str], n: int) -> tuple[Row | None, int]:
@@ -232,11 +244,7 @@ def limit_n(df: DataFrame, key: str | list[str], n: int) -> DataFrame:
     bound, below = nth_smallest(df, keys, n)
     if bound is None:
         return df
-    # The first column alone is a filter that sources understand.
-    if bound[keys[0]] is None:
-        near = df.where(F.col(keys[0]).isNull())
-    else:
-        near = df.where(F.col(keys[0]).isNull() | (F.col(keys[0]) <= F.lit(bound[keys[0]])))
+    near = df.where(_upto(keys[0], bound[keys[0]]))  # a filter that sources understand
     if bound["_n"] == n - below:
         return near.where(_before(keys, bound) | _at(keys, bound))
     tied = near.where(_at(keys, bound)).withColumn("_tie", F.xxhash64(*df.columns))

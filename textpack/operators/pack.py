@@ -27,32 +27,39 @@ def pack_blocks(placed: DataFrame, context_length: int = CONTEXT_LENGTH,
                 partition: list[str] | None = None) -> DataFrame:
     """Stream rows (ids, start) into blocks (partition..., block_id, tokens).
 
-    Block i holds tokens [i*C, i*C+C], so a token at a multiple of C is in two blocks. Every row is
-    cut into its share of each block first; a group is then at most C+1 tokens. The incomplete last
-    block is dropped.
+    Block i holds tokens [i*C, i*C+C], so a token at a multiple of C is in two blocks. Blocks that lie within one row
+    are cut where it is. Only a row's shares of the blocks that reach beyond it, at most four, are exchanged; a group
+    is then at most C+1 tokens. The incomplete last block is dropped.
     """
     partition, c = partition or [], context_length
-    last = F.col("start") + F.size("ids") - 1
+    n = F.size("ids")
+    last = F.col("start") + n - 1
     first_block = F.greatest(F.lit(0), F.ceil((F.col("start") - c) / F.lit(c))).cast("long")
     last_block = F.floor(last / F.lit(c)).cast("long")
+    first_whole = F.ceil(F.col("start") / F.lit(c)).cast("long")
+    last_whole = (last_block - 1).cast("long")
+
+    def cut(lo: Column, hi: Column) -> Column:
+        return F.slice("ids", (lo - F.col("start") + 1).cast("int"), (hi - lo + 1).cast("int"))
 
     def share(block: Column) -> Column:
         lo = F.greatest(F.col("start"), block * c)
         hi = F.least(last, block * c + c)
-        return F.struct(
-            block.alias("block_id"), lo.alias("lo"),
-            F.slice("ids", (lo - F.col("start") + 1).cast("int"), (hi - lo + 1).cast("int"))
-            .alias("ids"))
-
-    shares = placed.where(F.size("ids") > 0).select(
-        *partition, F.explode(F.transform(F.sequence(first_block, last_block), share)).alias("s"))
+        return F.struct(block.alias("block_id"), lo.alias("lo"), cut(lo, hi).alias("ids"))
+
+    whole = placed.where((n > c) & (first_whole <= last_whole)).select(
+        *partition, F.explode(F.sequence(first_whole, last_whole)).alias("block_id"), "ids", "start").select(
+        *partition, "block_id", cut(F.col("block_id") * c, F.col("block_id") * c + c).alias("tokens"))
+    beyond = F.when(first_whole <= last_whole, F.filter(F.array(first_whole - 1, last_block), lambda b: b >= 0)) \
+        .otherwise(F.sequence(first_block, last_block))
+    shares = placed.where(n > 0).select(*partition, F.explode(F.transform(beyond, share)).alias("s"))
     grouped = shares.select(
         *partition, "s.block_id", F.struct("s.lo", "s.ids").alias("s"), F.size("s.ids").alias("n")
     ).groupBy(*partition, "block_id").agg(
         F.array_sort(F.collect_list("s")).alias("shares"), F.sum("n").alias("n"))
     tokens = F.flatten(F.transform("shares", lambda s: s["ids"]))
-    return grouped.where(F.col("n") == c + 1).select(
-        *partition, "block_id", tokens.alias("tokens"))
+    return whole.unionByName(grouped.where(F.col("n") == c + 1).select(
+        *partition, "block_id", tokens.alias("tokens")))
 
 
 def xy_shift(blocks: DataFrame, context_length: int = CONTEXT_LENGTH) -> DataFrame:

@@ -91,7 +91,7 @@ def _kept(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _encoded_chat(spark: SparkSession, folder: str) -> DataFrame:
-    return encode_chat(inputs.pairs(spark, folder), CHAT_BYTES, BYTE_LIMIT)
+    return encode_chat(inputs.pairs(spark, folder), CHAT_BYTES, BYTE_LIMIT, PAIR_ID)
 
 
 def _chat_blocks(spark: SparkSession, folder: str) -> DataFrame:
@@ -234,7 +234,7 @@ def token_length_filter_bpe(spark, folder):
 
 def pack_chat_bpe(spark, folder):
     """The chat chain on the learned vocabulary: filter by its tokens, shuffle, split and pack."""
-    encoded = encode_chat(inputs.pairs(spark, folder), _chat_vocabulary(spark, folder), BYTE_LIMIT)
+    encoded = encode_chat(inputs.pairs(spark, folder), _chat_vocabulary(spark, folder), BYTE_LIMIT, PAIR_ID)
     return _spelled_blocks(pack_chat(encoded, PAIR_ID, CONTEXT)).select("split", "block_id", "tokens")
 
 

@@ -11,19 +11,21 @@ from textpack.operators.clean import computed_once, english_pairs, token_length_
 from textpack.operators.ordering import split_and_place
 from textpack.operators.pack import pack_blocks
 from textpack.operators.vocabulary import Vocabulary
-from textpack.session import materialize
+from textpack.session import dealt, materialize, materialize_by
 
 
-def encode_chat(pairs: DataFrame, vocabulary: Vocabulary,
-                max_tokens: int = MAX_CHAT_TOKENS) -> DataFrame:
-    """Kept conversations (ids, n_tokens) from a written table.
+def encode_chat(pairs: DataFrame, vocabulary: Vocabulary, max_tokens: int = MAX_CHAT_TOKENS,
+                row_id: list[str] | None = None) -> DataFrame:
+    """Kept conversations (ids, n_tokens) from a written table, in buckets of ``row_id`` if that is given, so
+    that their ids aren't shuffled to meet their places.
 
     Cheap filters run first, each remaining line is encoded once, and lines that are too long are
     dropped before the write.
     """
-    encoded = computed_once(english_pairs(pairs), {"ids": encode_ids("line", vocabulary)}).drop("line")
-    counted = encoded.withColumn("n_tokens", F.size("ids"))
-    return materialize(token_length_filter(counted, max_tokens), "chat")
+    kept = english_pairs(pairs)
+    encoded = computed_once(dealt(kept, row_id) if row_id else kept, {"ids": encode_ids("line", vocabulary)}).drop("line")
+    counted = token_length_filter(encoded.withColumn("n_tokens", F.size("ids")), max_tokens)
+    return materialize_by(counted, "chat", row_id) if row_id else materialize(counted, "chat")
 
 
 def pack_chat(encoded: DataFrame, row_id: list[str], context_length: int = CONTEXT_LENGTH,

@@ -10,21 +10,21 @@ from textpack.operators.encode import encode_rows
 from textpack.operators.ordering import in_ranges, range_buckets
 from textpack.operators.pack import pack_blocks, place_in_stream
 from textpack.operators.vocabulary import Vocabulary
-from textpack.session import materialize
+from textpack.session import dealt, materialize, materialize_by
 
 
 def place_corpus(rows: DataFrame, key: str, vocabulary: Vocabulary,
                  max_rows: int | None = None) -> DataFrame:
     """Usable stories as (key, ids, start), each closed by EOS, placed in key order.
 
-    Each text is encoded once, into a written table. Only keys and lengths are ordered; the ids are
-    joined to their places.
+    Texts are dealt by key and encoded once, into a table in buckets of the key. Only keys and lengths are
+    ordered; the ids meet their places where they lie and are never shuffled for it.
     """
-    stories = usable_stories(rows, key, max_rows=max_rows)
-    encoded = materialize(encode_rows(stories, vocabulary, append_eos=True), "encoded")
+    stories = dealt(usable_stories(rows, key, max_rows=max_rows), [key])
+    encoded = materialize_by(encode_rows(stories, vocabulary, append_eos=True), "encoded", [key])
     lengths = in_ranges(encoded.select(key, "n_tokens"), key)
-    places = place_in_stream(lengths, key, range_buckets())
-    return encoded.join(places.select(key, "start"), key)
+    places = materialize(place_in_stream(lengths, key, range_buckets()).select(key, "start"), "places")
+    return encoded.join(places, key)
 
 
 def pack_corpus(rows: DataFrame, key: str, vocabulary: Vocabulary,

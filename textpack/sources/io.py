@@ -110,24 +110,24 @@ def load_or_build(spark: SparkSession, root: str, split: str, build: Callable[[]
     plain, chat = f"{root}/{key}", f"{root}/chat_{key}"
     if not force:
         for path in (plain, chat):
-            place = _marked(spark, f"{path}.done")
+            place = _marked(spark, path)
             if place is not None:
                 return read_packed(spark, place, split)
     # Every build has a folder of its own, so nobody's table changes under a reader, and a build that dies leaves
     # no mark on what it wrote.
-    place = f"{plain}-{uuid.uuid4().hex}"
+    place = f"{plain}/build={uuid.uuid4().hex}"
     write_packed(build(), place)
     spark.createDataFrame([(place, time.time_ns())], MARK_SCHEMA).coalesce(1).write.mode("append").parquet(f"{plain}.done")
     return read_packed(spark, place, split)
 
 
-def _marked(spark: SparkSession, marks: str) -> str | None:
-    """The folder of the last finished build; a folder without marks names none."""
+def _marked(spark: SparkSession, path: str) -> str | None:
+    """The folder that the last mark names, or the path itself if it names none; nothing without a mark."""
     try:
-        last = spark.read.schema(MARK_SCHEMA).parquet(marks).orderBy(F.desc("built"), "place").first()
+        last = spark.read.schema(MARK_SCHEMA).parquet(f"{path}.done").orderBy(F.desc("built"), "place").first()
     except AnalysisException:
         return None
-    return last["place"] if last else None
+    return last and (last["place"] or path)
 
 
 def save_vocabulary(spark: SparkSession, vocabulary: Vocabulary, path: str) -> None:
