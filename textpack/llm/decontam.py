@@ -6,13 +6,16 @@ for most steps, so their edit distance becomes a small Hamming distance. Bit sam
 embedding as a key; repetitions with fresh walks and steps raise the recall to a stated target, and
 every hit is verified by exact edit distance.
 
-Windows have the size of the items: an item of m words is embedded through all its windows of the
-largest power of two up to m (64 at most), and texts through all windows of the same sizes. Windows of a text are embedded
+Windows have the size of the items: an item of m words, up to e of them edited, is embedded through all its windows of the
+largest power of two up to m - e (64 at most), so that some window is left whatever the edits are, and texts through all windows of the
+same sizes. Each window size has repetitions of its own, until edited items of every length that it serves, drawn from all of
+them and set in other words, are found. Windows of a text are embedded
 together, and a key is compared step by step, so most windows are done after the first step sampled.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,14 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from textpack.llm.words import buffers_of, free_name, hash_runs, mix, schema_with, slices, word_spans
+from textpack.llm.words import buffers_of, by_slice, hash_runs, mix, schema_with, slices, word_spans
 
 #: Words of items that one pass over the texts holds; a larger benchmark takes several passes.
 PASS_WORDS = 2_000_000
 #: Steps in a key, share of edited words of an item, recall aimed at, most repetitions tried.
 SAMPLED, MAX_EDIT_SHARE, RECALL, MOST_REPETITIONS = 3, 0.15, 0.95, 32
-#: An item of fewer words says too little to tell a copy from chance, and is not searched for.
-LEAST_WORDS = 8
+#: Trials that recall is measured on for items of about one size, and words that a trial lies between.
+TRIALS, AROUND = 200, 80
 LONGEST_WINDOW = 64
 _FILTER_BITS = 18
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -42,40 +45,40 @@ def folded_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return hash_runs(_LOWER[raw], starts, lengths), first
 
 
-def window_size(m: int) -> int:
-    return min(LONGEST_WINDOW, 1 << (m.bit_length() - 1))
+def window_size(m: int, edits: int) -> int:
+    """Of an item of ``m`` words; with that many edits at least one window of it stays within a text."""
+    return min(LONGEST_WINDOW, 1 << ((m - edits).bit_length() - 1))
 
 
 class Repetition:
-    """Keys of all item windows under one walk."""
+    """Keys of all windows of one size of some items under one walk."""
 
-    def __init__(self, items: list[np.ndarray], number: int, sampled: int):
+    def __init__(self, items: list[np.ndarray], chosen: list[int], c: int, number: int, sampled: int):
+        self.c = c
         self.seeds = mix(np.arange(1, 4, dtype=np.uint64) + np.uint64(1000 * number + 1))
-        random = np.random.default_rng(number)
-        self.sizes = {}
-        for c in sorted({window_size(len(w)) for w in items}):
-            # The first step is an early one, so that most windows are done after few steps; the
-            # others are drawn from equal shares of the rest.
-            shares = np.linspace(min(4, c), 2 * c, sampled).astype(int)
-            steps = [int(random.integers(shares[0])), *(int(random.integers(a, b)) for a, b in zip(shares[:-1], shares[1:]))]
-            chosen = [(k, w) for k, w in enumerate(items) if window_size(len(w)) == c]
-            words = np.concatenate([w for _, w in chosen])
-            base = np.cumsum([0] + [len(w) for _, w in chosen])
-            starts = np.concatenate([np.arange(len(w) - c + 1) + b for (_, w), b in zip(chosen, base)])
-            item = np.concatenate([np.full(len(w) - c + 1, k) for k, w in chosen])
-            offset = np.concatenate([np.arange(len(w) - c + 1) for _, w in chosen])
-            keys, at, walked = None, starts, 0
-            filters = []
-            bits = self.bits(words, 2 * c)
-            for step in steps:
-                at = self.walk(bits, at, starts, c, walked, step)
-                keys = self.extend(keys, words, at)
-                walked = step
-                known = np.zeros(1 << _FILTER_BITS, dtype=bool)
-                known[keys >> np.uint64(64 - _FILTER_BITS)] = True
-                filters.append(known)
-            order = np.argsort(keys, kind="stable")
-            self.sizes[c] = (steps, filters, keys[order], item[order], offset[order])
+        random = np.random.default_rng([number, c, sampled])
+        # The first step is an early one, so that most windows are done after few steps; the
+        # others are drawn from equal shares of the rest.
+        shares = np.linspace(min(4, c), 2 * c, sampled).astype(int)
+        self.steps = [int(random.integers(shares[0])), *(int(random.integers(a, max(b, a + 1))) for a, b in zip(shares[:-1], shares[1:]))]
+        sizes = np.array([len(items[k]) for k in chosen])
+        words = np.concatenate([items[k] for k in chosen])
+        windows = sizes - c + 1
+        item = np.repeat(np.array(chosen), windows)
+        offset = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+        starts = offset + np.repeat(np.cumsum(sizes) - sizes, windows)
+        keys, at, walked = None, starts, 0
+        self.filters = []
+        bits = self.bits(words, 2 * c)
+        for step in self.steps:
+            at = self.walk(bits, at, starts, c, walked, step)
+            keys = self.extend(keys, words, at)
+            walked = step
+            known = np.zeros(1 << _FILTER_BITS, dtype=bool)
+            known[keys >> np.uint64(64 - _FILTER_BITS)] = True
+            self.filters.append(known)
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.items, self.offsets = keys[order], item[order], offset[order]
 
     def bits(self, words: np.ndarray, steps: int) -> list[np.ndarray]:
         """Random bits of each word for steps 0 to 63, 64 to 127, ..."""
@@ -97,28 +100,20 @@ class Repetition:
         """Keys with the word that each walk stands on put in."""
         return words[at] if keys is None else mix(keys * np.uint64(0x9E3779B97F4A7C15) + words[at])
 
-    def hits(self, words: np.ndarray, windows: dict[int, np.ndarray]) -> Iterator[tuple[np.ndarray, ...]]:
-        """Of all windows of equal keys: the start, the start minus the offset in the item, the item.
-
-        ``windows`` has the starts of the windows of each size, see ``windows_of``.
-        """
-        for c, (steps, filters, keys, items, offsets) in self.sizes.items():
-            starts = windows[c]
-            if not len(starts):
-                continue
-            bits = self.bits(words, 2 * c)
-            at, made, walked = starts, None, 0
-            for step, known in zip(steps, filters):
-                at = self.walk(bits, at, starts, c, walked, step)
-                made, walked = self.extend(made, words, at), step
-                left = known[made >> np.uint64(64 - _FILTER_BITS)]
-                left = np.flatnonzero(left)
-                at, made, starts = at[left], made[left], starts[left]
-            low, high = np.searchsorted(keys, made), np.searchsorted(keys, made, side="right")
-            counts = high - low
-            which = np.repeat(low, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-            starts = np.repeat(starts, counts)
-            yield starts, starts - offsets[which], items[which]
+    def hits(self, words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of all windows (given by their starts) of equal keys: the start, the start minus the offset in the item, the item."""
+        bits = self.bits(words, 2 * self.c)
+        at, made, walked = starts, None, 0
+        for step, known in zip(self.steps, self.filters):
+            at = self.walk(bits, at, starts, self.c, walked, step)
+            made, walked = self.extend(made, words, at), step
+            left = np.flatnonzero(known[made >> np.uint64(64 - _FILTER_BITS)])
+            at, made, starts = at[left], made[left], starts[left]
+        low, high = np.searchsorted(self.keys, made), np.searchsorted(self.keys, made, side="right")
+        counts = high - low
+        which = np.repeat(low, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        starts = np.repeat(starts, counts)
+        return starts, starts - self.offsets[which], self.items[which]
 
 
 def windows_of(first: np.ndarray, sizes: list[int]) -> dict[int, np.ndarray]:
@@ -157,42 +152,67 @@ def best_match(item: list[int], text: list[int]) -> tuple[int, int]:
 
 
 class Searcher:
-    """Finds items in texts, with as many repetitions as the target recall takes."""
+    """Finds items in texts, with as many repetitions of each window size as the target recall takes.
+
+    Where MOST_REPETITIONS don't reach it, keys of fewer steps do, at the cost of more candidates to verify. ``recall`` has the
+    share of trials found, by window size, of the length that is found least.
+    """
 
     def __init__(self, items: list[np.ndarray], share: float, recall: float, sampled: int):
         self.items, self.share = items, share
         self.lists = [w.tolist() for w in items]
         self.edits = [int(len(w) * share) for w in items]
-        self.sizes = sorted({window_size(len(w)) for w in items})
+        by_size: dict[int, list[int]] = {}
+        for k, words in enumerate(items):
+            by_size.setdefault(window_size(len(words), self.edits[k]), []).append(k)
+        self.sizes = sorted(by_size)
         self.repetitions: list[Repetition] = []
-        trials = self.edited(np.random.default_rng(7)) if items else []
-        missed = list(range(len(trials)))
-        while items and (not self.repetitions or len(missed) > (1 - recall) * len(trials)):
-            if len(self.repetitions) == MOST_REPETITIONS:
-                raise ValueError(f"recall {recall} takes over {MOST_REPETITIONS} repetitions")
-            new = Repetition(items, len(self.repetitions), sampled)
-            self.repetitions.append(new)
-            missed = [t for t in missed if not any(
-                k == trials[t][0] for _, k, *_ in self.find(trials[t][1], np.array([0, len(trials[t][1])]), [new]))]
-
-    def edited(self, random: np.random.Generator) -> list[tuple[int, np.ndarray]]:
-        """Items with as many random edits as are still to be found; several of each in a small benchmark."""
+        self.recall: dict[int, float] = {}
+        for c in self.sizes:
+            trials = self.edited(c, by_size[c], np.random.default_rng([7, c]))
+            total = Counter(length for length, *_ in trials)
+            for steps in range(min(sampled, 2 * c), 0, -1):
+                made, missed = [], trials
+                while len(made) < MOST_REPETITIONS and (not made or self.worst(missed, total) < recall):
+                    made.append(Repetition(items, by_size[c], c, len(made), steps))
+                    missed = [(length, k, words) for length, k, words in missed if not any(
+                        item == k for _, item, *_ in self.find(words, np.array([0, len(words)]), made[-1:]))]
+                self.recall[c] = self.worst(missed, total)
+                if self.recall[c] >= recall:
+                    break
+            self.repetitions += made
+
+    @staticmethod
+    def worst(missed: list[tuple], total: Counter) -> float:
+        """Least share of trials found among lengths."""
+        left = Counter(length for length, *_ in missed)
+        return min(1 - left[length] / n for length, n in total.items())
+
+    def edited(self, c: int, chosen: list[int], random: np.random.Generator) -> list[tuple[int, int, np.ndarray]]:
+        """Trials: length in eighths of a window, item, and its words with as many random edits as are still to be found, between
+        other words. Each length has its trials, spread evenly over its items."""
+        by_length: dict[int, list[int]] = {}
+        for k in chosen:
+            by_length.setdefault(min(8 * len(self.lists[k]) // c, 24), []).append(k)
         made = []
-        for trial in range(max(200, min(len(self.items), 1000))):
-            k = trial % len(self.items)
-            words = self.lists[k][:]
-            for _ in range(self.edits[k]):
-                kind, at = int(random.integers(3)), int(random.integers(len(words)))
-                fresh = int(random.integers(1 << 62))
-                words[at:at + (kind != 1)] = [] if kind == 2 and len(words) > 1 else [fresh]
-            made.append((k, np.array(words, dtype=np.uint64)))
+        for length, own in sorted(by_length.items()):
+            for trial in range(TRIALS):
+                k = own[trial * len(own) // TRIALS if len(own) > TRIALS else trial % len(own)]
+                words = self.lists[k][:]
+                for _ in range(self.edits[k]):
+                    kind, at = int(random.integers(3)), int(random.integers(len(words)))
+                    fresh = int(random.integers(1 << 62))
+                    words[at:at + (kind != 1)] = [] if kind == 2 and len(words) > 1 else [fresh]
+                before, after = random.integers(1 << 62, size=(2, AROUND), dtype=np.uint64)
+                made.append((length, k, np.concatenate([before, np.array(words, dtype=np.uint64), after])))
         return made
 
     def find(self, words: np.ndarray, first: np.ndarray,
              repetitions: list[Repetition] | None = None) -> list[tuple[int, int, int, int, int]]:
         """``(row, item, start, end, edits)`` of the best stretch of each row and item, word numbers in the row."""
-        windows = windows_of(first, self.sizes)
-        found = [hit for repetition in repetitions or self.repetitions for hit in repetition.hits(words, windows)]
+        used = repetitions or self.repetitions
+        windows = windows_of(first, sorted({r.c for r in used}))
+        found = [r.hits(words, windows[r.c]) for r in used if len(windows[r.c])]
         if not found:
             return []
         starts, diagonal, item = (np.concatenate(side) for side in zip(*found))
@@ -228,7 +248,7 @@ def _searchers(benchmark: DataFrame, item: str, text: str, share: float, recall:
     for k in range(passes):
         rows = long.where(F.pmod(F.xxhash64(item, text), F.lit(passes)) == k).orderBy(item, text).toArrow()
         hashes, first = folded_words(rows.column(1).combine_chunks())
-        keep = [i for i in range(rows.num_rows) if first[i + 1] - first[i] >= LEAST_WORDS]
+        keep = [i for i in range(rows.num_rows) if first[i + 1] > first[i]]
         if keep:
             yield ([rows.column(0)[i].as_py() for i in keep],
                    Searcher([hashes[first[i]:first[i + 1]] for i in keep], share, recall, sampled))
@@ -240,8 +260,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     """Stretches of texts within ``share`` edited words of a benchmark item, A-Z in either case.
 
     One row for each row of ``docs`` and item found: ``key, item, start, end, edits``, the stretch of
-    fewest edits, in words of the text. Null and empty texts have none, items without key or text and
-    those under ``LEAST_WORDS`` words are not searched for. Texts aren't shuffled: each pass broadcasts the
+    fewest edits, in words of the text. Null and empty texts have none, items without key or words are not searched
+    for. Items too short for an edit (under 7 words at 15 %) are found word for word. Texts aren't shuffled: each pass broadcasts the
     keys of at most about ``PASS_WORDS`` words of items, however many there are.
     """
     kind = benchmark.schema[item].dataType
@@ -269,9 +289,20 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     return found if found is not None else docs.sparkSession.createDataFrame([], schema)
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """Rows of ``docs`` in which no benchmark item is found. Rows of one key go or stay together; of rows
-    without a key, all go if one has a leak."""
-    name = free_name(docs, "_leaked")
-    leaks = find_leaks(docs, benchmark, key, **options).select(F.col(key).alias(name)).distinct()
-    return docs.join(leaks, docs[key].eqNullSafe(leaks[name]), "left_anti")
+def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
+                  share: float = MAX_EDIT_SHARE, recall: float = RECALL, sampled: int = SAMPLED) -> DataFrame:
+    """Rows of ``docs`` in whose text no benchmark item is found, all columns as they are.
+
+    Every row is judged by its own text, in the pass that finds; nothing is shuffled.
+    """
+    at = docs.columns.index(text)
+    for _, searcher in _searchers(benchmark, item, item_text, share, recall, sampled):
+        shared = docs.sparkSession.sparkContext.broadcast(searcher)
+
+        def work(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
+            clean = np.ones(batch.num_rows, dtype=bool)
+            clean[[row for row, *_ in shared.value.find(*folded_words(batch.column(at)))]] = False
+            return batch.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(by_slice(work, text), docs.schema)
+    return docs

@@ -61,7 +61,9 @@ def links(prints: DataFrame) -> DataFrame:
     """``(a, b)`` pairs of distinct fingerprints within RADIUS bits that connect all that are linked, from a
     column ``fp`` of distinct fingerprints."""
     masks = [0, *(1 << b for b in range(63)), -(1 << 63)]  # at most half of RADIUS bits
-    variants = prints.select("fp", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])).alias("mask"))
+    # Each row becomes 65: as many tasks as the shuffle behind has, however few rows there are.
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    variants = prints.repartition(tasks, "fp").select("fp", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])).alias("mask"))
     met = (variants.groupBy(F.col("fp").bitwiseXOR(F.col("mask")).alias("variant"))
            .agg(F.collect_set("fp").alias("fps")).where(F.size("fps") > 1))
     pairs = met.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).where("a != b").distinct()
@@ -77,22 +79,39 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     """
     rows = materialize(fingerprints(docs, key, text, shingle, seed), "fingerprints")
     named = rows.groupBy("fp").agg(F.min(key).alias("first"))
-    groups = connect(materialize(links(rows.select("fp").distinct()), "links"))
-    label = F.coalesce("root", "fp")
-    classes = named.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", label.alias("root"))
+    classes = named.join(groups(rows), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     names = classes.groupBy("root").agg(F.min("first").alias("component_id"))
     members = classes.join(names, "root").select("fp", "component_id")
     return (rows.join(members, "fp")
             .select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """Rows of ``docs``, one of each component: that of the smallest key.
+def groups(rows: DataFrame) -> DataFrame:
+    """``(fp, root)`` of every fingerprint that is linked to another."""
+    return connect(materialize(links(rows.select("fp").distinct()), "links")).withColumnRenamed("node", "fp")
 
-    Of rows that share that key one stays, and one of all rows without a key if nothing near them has one.
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, seed: int = SEED) -> DataFrame:
+    """Rows of ``docs``, one of each component: that of the smallest key, null keys last.
+
+    Rows are told apart by their place in the written table, so rows that share a key but not a component all stay,
+    and of repeated rows one. Texts are shuffled once.
     """
-    found = near_duplicates(docs, key, text, **options)
-    name = free_name(docs, "_kept")
-    first = found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias(name)).distinct()
-    kept = docs.join(first, docs[key].eqNullSafe(first[name]), "left_semi")
-    return kept.dropDuplicates([key])
+    at = docs.columns.index(text)
+    fp, row = free_name(docs, "_fp"), free_name(docs, "_row")
+    names = [*docs.columns, fp]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = np.array([fingerprint(t, shingle, seed) for t in texts_of(batch.column(at))], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints.view(np.int64))], names=names)
+
+    written = docs.mapInArrow(run, schema_with(docs, f"`{fp}` bigint")).withColumn(row, F.monotonically_increasing_id())
+    written = materialize(written, "fingerprinted")
+    rows = written.select(F.struct(F.col(key).isNull(), F.col(key), F.col(row)).alias("order"), F.col(row).alias("row"), F.col(fp).alias("fp"))
+    # Reduced to the first row of each fingerprint before the links are followed.
+    firsts = rows.groupBy("fp").agg(F.min("order").alias("order"), F.min_by("row", "order").alias("row"))
+    label = F.coalesce("root", "fp").alias("root")
+    chosen = (firsts.join(groups(rows), "fp", "left").select(label, "order", "row")
+              .groupBy("root").agg(F.min_by("row", "order").alias(row)).select(row))
+    return written.join(chosen, row, "left_semi").select(docs.columns)
