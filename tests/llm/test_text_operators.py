@@ -1,6 +1,7 @@
 """Operators over documents, against brute force on awkward rows."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -251,6 +252,68 @@ def test_toxicity_without_labels(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def slow_noisy_or(texts, labels):
+    """Weights and bias by the same gradient steps, sentence by sentence. ``texts`` has lists of sentences of features."""
+    names = sorted({f for t in texts for s in t for f in s})
+    weights, bias = dict.fromkeys(names, 0.0), toxicity.START_BIAS
+    moment, power = ({k: 0.0 for k in [*names, None]} for _ in range(2))
+
+    def soft(x):
+        return math.log1p(math.exp(-abs(x))) + max(x, 0)
+
+    def chance(x):
+        return 1 / (1 + math.exp(-x))
+
+    positive = sum(labels)
+    for step in range(1, toxicity.STEPS + 1):
+        grad = {k: 0.0 for k in [*names, None]}
+        for sentences, label in zip(texts, labels):
+            logits = [sum(weights[f] for f in s) + bias for s in sentences]
+            clean = soft(bias) + sum(soft(z) - soft(bias) for z in logits if z >= bias)
+            pull = (-math.exp(-clean) / max(1 - math.exp(-clean), 1e-9) if label else 1.0) * 0.5 / (
+                positive if label else len(labels) - positive)
+            grad[None] += pull * chance(bias)
+            for s, z in zip(sentences, logits):
+                if z >= bias:
+                    grad[None] += pull * (chance(z) - chance(bias))
+                    for f in s:
+                        grad[f] += pull * chance(z)
+        for k in [*names, None]:
+            g = grad[k] + (toxicity.DECAY * weights[k] if k is not None else 0)
+            moment[k] = 0.9 * moment[k] + 0.1 * g
+            power[k] = 0.99 * power[k] + 0.01 * g * g
+            change = toxicity.RATE * (moment[k] / (1 - 0.9 ** step)) / (math.sqrt(power[k] / (1 - 0.99 ** step)) + 1e-9)
+            if k is None:
+                bias -= change
+            else:
+                weights[k] -= change
+    return weights, bias
+
+
+def test_noisy_or_is_fitted_as_by_hand():
+    draw = random.Random(2)
+    texts = [[[draw.randrange(12) for _ in range(draw.randrange(1, 4))] for _ in range(draw.randrange(4))] for _ in range(60)]
+    labels = [int(any(0 in s or 1 in s for s in t)) for t in texts]
+    flat = [f for t in texts for s in t for f in s]
+    sentences = [s for t in texts for s in t]
+    model = toxicity.fit(np.array(flat), np.repeat(np.arange(len(sentences)), [len(s) for s in sentences]),
+                         np.repeat(np.arange(len(texts)), [len(t) for t in texts]), np.array(labels))
+    weights, bias = slow_noisy_or(texts, labels)
+    assert model.bias == pytest.approx(bias, rel=1e-6, abs=1e-6)
+    assert {f: model.weights[f] for f in weights} == pytest.approx(weights, rel=1e-4, abs=1e-4)
+
+
+@pytest.mark.parametrize("telling", [True, False])
+def test_length_alone_makes_no_text_toxic(spark, telling):
+    n = 600 if telling else 40
+    rows = [(i, f"lamp river stone. the {'filthyword' if i % 2 else 'goodword'} walks. paper and much") for i in range(n)]
+    model = toxicity.learn(table(spark, rows), spark.createDataFrame([(i, i % 2) for i in range(n)], "doc_id long, toxic int"))
+    long = table(spark, [(k, "plain words here. " * k) for k in (1, 5, 50, 500, 5000)] + [(0, "plain. filthyword. plain. " * 3)])
+    scores = {r.doc_id: r.score for r in toxicity.score(long, model).collect()}
+    assert len({round(scores[k], 9) for k in (1, 5, 50, 500, 5000)}) == 1 and scores[5000] < 0.5
+    assert (scores[0] > 0.9) == telling
+
+
 # SimHash
 
 def brute_fingerprint(text):

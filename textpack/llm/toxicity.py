@@ -58,8 +58,15 @@ class Model:
         return sums(self.weights[words].astype(np.float64), heads) + self.bias
 
     def text_scores(self, logits: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-        """Noisy-or of the sentences of each row; a text without sentences scores 0."""
-        return -np.expm1(-np.bincount(rows, weights=np.logaddexp(0, logits), minlength=n))
+        """Noisy-or of the sentences of each row and of one that tells nothing; a row without sentences scores 0.
+
+        A sentence counts by what it adds to one that tells nothing, so that however many of these there are, the
+        score is the same.
+        """
+        leak = np.logaddexp(0, self.bias)
+        added = np.maximum(np.logaddexp(0, logits) - leak, 0)
+        some = np.bincount(rows, minlength=n) > 0
+        return np.where(some, -np.expm1(-np.bincount(rows, weights=added, minlength=n) - leak), 0.0)
 
 
 def telling(seen: np.ndarray, in_toxic: np.ndarray, n: int, positive: int) -> np.ndarray:
@@ -69,28 +76,32 @@ def telling(seen: np.ndarray, in_toxic: np.ndarray, n: int, positive: int) -> np
     return np.flatnonzero((seen >= LEAST_TEXTS) & far)
 
 
-def fit(features: np.ndarray, sentence: np.ndarray, rows: np.ndarray, plain: np.ndarray, labels: np.ndarray) -> Model:
+def fit(features: np.ndarray, sentence: np.ndarray, rows: np.ndarray, labels: np.ndarray) -> Model:
     """Weights that make the labels likely, by gradient steps through the noisy-or.
 
     ``features`` are the telling features found, ``sentence`` the sentence of each, ``rows`` the text of each
-    sentence that has any; ``plain`` counts the other sentences of each text. Both kinds of texts weigh alike in
-    sum. Without texts of both kinds the model says the base rate.
+    sentence that has any. Both kinds of texts weigh alike in sum. Without texts of both kinds, or without telling
+    features, the model says the share of toxic texts.
     """
     size, n = 1 << BUCKET_BITS, len(labels)
     weights, positive = np.zeros(size), int(labels.sum())
-    if positive in (0, n):
-        return Model(weights, 20.0 if n and positive else -20.0)
+    if positive in (0, n) or not len(features):
+        share = min(max(positive / n, 1e-9), 1 - 1e-9) if n else 1e-9
+        return Model(weights, np.log(share / (1 - share)))
     used, compact = np.unique(features, return_inverse=True)
     w, moment, power = (np.zeros(len(used) + 1) for _ in range(3))
     w[-1] = START_BIAS
     share = np.where(labels == 1, 0.5 / positive, 0.5 / (n - positive))
     for step in range(1, STEPS + 1):
         logits = np.bincount(sentence, weights=w[compact], minlength=len(rows)) + w[-1]
-        clean = np.bincount(rows, weights=np.logaddexp(0, logits), minlength=n) + plain * np.logaddexp(0, w[-1])
+        leak = np.logaddexp(0, w[-1])
+        counted = logits >= w[-1]
+        clean = np.bincount(rows, weights=np.where(counted, np.logaddexp(0, logits) - leak, 0), minlength=n) + leak
         left = np.exp(-clean)  # chance of no toxic sentence
         pull = np.where(labels == 1, -left / np.maximum(1 - left, 1e-9), 1.0) * share
-        grad_logit = pull[rows] * np.exp(-np.logaddexp(0, -logits))
-        grad_bias = grad_logit.sum() + (pull * plain).sum() * np.exp(-np.logaddexp(0, -w[-1]))
+        chance, plain = np.exp(-np.logaddexp(0, -logits)), np.exp(-np.logaddexp(0, -w[-1]))
+        grad_logit = np.where(counted, pull[rows] * chance, 0)
+        grad_bias = (pull[rows] * (chance - plain))[counted].sum() + pull.sum() * plain
         grad = np.append(np.bincount(compact, weights=grad_logit[sentence], minlength=len(used)), grad_bias)
         grad[:-1] += DECAY * w[:-1]
         moment = 0.9 * moment + 0.1 * grad
@@ -166,9 +177,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     row = np.repeat(np.arange(len(texts)), [len(t[2]) for t in texts]) if texts else np.zeros(0, np.int64)
     number = np.array([s for t in texts for s in t[3]], dtype=np.int64)
     heads = np.append(True, (np.diff(number) != 0) | (np.diff(row) != 0)) if len(flat) else np.zeros(0, bool)
-    rows = row[heads]
-    plain = np.array([t[1] for t in texts], dtype=np.float64) - np.bincount(rows, minlength=len(texts))
-    return fit(flat, np.cumsum(heads) - 1, rows, plain, np.array([int(t[0]) for t in texts]))
+    return fit(flat, np.cumsum(heads) - 1, row[heads], np.array([int(t[0]) for t in texts]))
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
