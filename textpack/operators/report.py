@@ -2,21 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from textpack.constants import CONTEXT_LENGTH
 
 
-def filter_report(labelled: DataFrame) -> DataFrame:
-    """One row: kept, skipped, empty, non_english, too_long."""
+def reason_counts() -> list[Column]:
     reason = F.col("drop_reason")
-    return labelled.agg(
+    return [
         F.count_if(reason == "kept").alias("kept"),
         F.count_if(reason != "kept").alias("skipped"),
         F.count_if(reason == "empty").alias("empty"),
         F.count_if(reason == "non_english").alias("non_english"),
-        F.count_if(reason == "too_long").alias("too_long"))
+        F.count_if(reason == "too_long").alias("too_long")]
+
+
+def filter_report(labelled: DataFrame) -> DataFrame:
+    """One row: kept, skipped, empty, non_english, too_long."""
+    return labelled.agg(*reason_counts())
+
+
+def observed(labelled: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """The rows, counted as they pass: the report and the kept rows' token sum come from the job that
+    writes them, without another pass. On a stream each micro-batch's progress has the counts under ``name``."""
+    tokens = F.coalesce(F.sum(F.when(F.col("drop_reason") == "kept", F.col("n_tokens"))), F.lit(0)).cast("long")
+    metrics = [*reason_counts(), tokens.alias("tokens")]
+    if labelled.isStreaming:
+        return labelled.observe(name, *metrics), None
+    counts = Observation(name)
+    return labelled.observe(counts, *metrics), counts
+
+
+def report_of(counts: dict[str, int]) -> dict[str, int | float]:
+    """Counts as observed, with the mean tokens of what was kept, 0 when nothing was."""
+    return counts | {"avg_tokens": counts["tokens"] / counts["kept"] if counts["kept"] else 0.0}
 
 
 def avg_tokens(kept: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textpack.constants import (
+    BASE_VOCAB_SIZE,
     CHAT_TOKENS,
     COMMON_WORDS,
     EOS_TOKEN,
@@ -38,6 +39,8 @@ from textpack.operators.vocabulary import Vocabulary
 from textpack.plans import inputs
 from textpack.plans.chat import encode_chat, pack_chat
 from textpack.plans.corpus import pack_corpus
+from textpack.plans.sources import Source
+from textpack.plans.sources import source_pairs as make_pairs
 from textpack.session import materialize, scratch_path
 from textpack.sources import io
 from textpack.streaming import jobs
@@ -149,6 +152,15 @@ def write_formatted(spark, folder):
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
+def write_with_report(spark, folder):
+    """The report of the job that writes the formatted lines, beside how many lines it wrote."""
+    path = scratch_path(spark, "formatted")
+    found = io.write_formatted_reporting(_labelled(spark, folder), path)
+    found |= {"avg_tokens": round(found["avg_tokens"], 6), "lines": spark.read.text(path).count()}
+    return spark.createDataFrame([found], "kept long, skipped long, empty long, non_english long, too_long long, "
+                                          "tokens long, avg_tokens double, lines long")
+
+
 def read_formatted(spark, folder):
     path = scratch_path(spark, "formatted")
     io.write_formatted(_kept(spark, folder), path)
@@ -492,6 +504,21 @@ def limit_pairs(spark, folder):
     return ordering.limit_n(parse_blocks(spark, folder), ["src", "end_line"], LIMIT_ROWS)
 
 
+def source_pairs(spark, folder):
+    """Pairs of the first source that opens: the instruction files aren't there, the stories get the default turn."""
+    wanted = [Source(f"{folder}/instructions.parquet", "instructions"), Source(f"{folder}/documents.parquet")]
+    found = make_pairs(spark, wanted, LIMIT_ROWS, scratch_path(spark, "pairs"))
+    return found.withColumn("source", F.regexp_extract("source", r"([^/]+)\z", 1))
+
+
+def source_pairs_parsed(spark, folder):
+    """The same, with the instruction source there."""
+    path = scratch_path(spark, "instructions")
+    inputs.instruction_lines(spark, folder).write.parquet(path)
+    wanted = [Source(f"{path}-missing", "instructions"), Source(path, "instructions"), Source(f"{folder}/documents.parquet")]
+    return make_pairs(spark, wanted, LIMIT_ROWS, scratch_path(spark, "pairs"), LINE_WIDTH).drop("source")
+
+
 def word_intersect(spark, folder):
     common = F.array_intersect(T.word_set("text"), F.array(*[F.lit(w) for w in COMMON_WORDS]))
     return inputs.documents(spark, folder).select(
@@ -584,9 +611,70 @@ def resize_embeddings(spark, folder):
                         F.round(F.col("value").cast("double"), 5).alias("value"))
 
 
+# --- the vocabulary of full size: no statement spells thousands of merges, so these are tested against a library ----
+
+_full_vocabularies: dict[tuple[str, str], str] = {}
+
+
+def full_vocabulary(spark: SparkSession, folder: str) -> Vocabulary:
+    """BASE_VOCAB_SIZE tokens learned from the folder's stories, and the chat tokens.
+
+    Learned by the first query of an application that asks, into a table that the others read.
+    """
+    key = spark.sparkContext.applicationId, folder
+    if key not in _full_vocabularies:
+        path = scratch_path(spark, "full-vocabulary")
+        io.save_vocabulary(spark, bpe.train_vocabulary(bpe.piece_counts(_stories(spark, folder)), BASE_VOCAB_SIZE), path)
+        _full_vocabularies[key] = path
+    return io.load_vocabulary(spark, _full_vocabularies[key]).with_chat_tokens()
+
+
+def bpe_train_full(spark, folder):
+    return full_vocabulary(spark, folder).vocab_table(spark).withColumn("id", F.col("id").cast("long"))
+
+
+def bpe_encode_full(spark, folder):
+    encoded = encode.encode_rows(inputs.documents(spark, folder), full_vocabulary(spark, folder))
+    return encoded.select("doc_id", F.col("n_tokens").cast("long"), spell("ids").alias("ids"))
+
+
+def _encoded_chat_full(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_chat(inputs.pairs(spark, folder), full_vocabulary(spark, folder), MAX_CHAT_TOKENS, PAIR_ID)
+
+
+def pack_chat_full(spark, folder):
+    packed = pack_chat(_encoded_chat_full(spark, folder), PAIR_ID, CONTEXT)
+    return _spelled_blocks(packed).select("split", "block_id", "tokens")
+
+
+def dataset_manifest_full(spark, folder):
+    encoded = _encoded_chat_full(spark, folder)
+    split = materialize(ordering.exact_split(encoded.select(*PAIR_ID, "n_tokens"), PAIR_ID), "split")
+    return report.dataset_manifest({
+        "pairs": inputs.pairs(spark, folder), "formatted": encoded,
+        "train": split.where("split = 'train'"), "val": split.where("split = 'val'"),
+    }, full_vocabulary(spark, folder).size)
+
+
+def chat_context_full(spark, folder):
+    shown = context.chat_context(inputs.conversations(spark, folder), full_vocabulary(spark, folder), CONTEXT)
+    return shown.select("conv_id", "turn", F.col("n_pairs").cast("long"), spell("ids").alias("ids"))
+
+
+def render_transcript_full(spark, folder):
+    shown = context.render_transcript(inputs.conversations(spark, folder), full_vocabulary(spark, folder), CONTEXT)
+    return shown.withColumn("n_pairs", F.col("n_pairs").cast("long"))
+
+
+def full_size() -> dict[str, Query]:
+    """Queries on the vocabulary of full size."""
+    listed = [bpe_train_full, bpe_encode_full, pack_chat_full, dataset_manifest_full, chat_context_full, render_transcript_full]
+    return {q.__name__: q for q in listed}
+
+
 def queries() -> dict[str, Query]:
     listed = [
-        scan_corpus, scan_lines, source_fallback, read_pairs, write_pairs, write_formatted,
+        scan_corpus, scan_lines, source_fallback, read_pairs, write_pairs, write_formatted, write_with_report,
         read_formatted, write_packed, load_or_build, vocab_tables,
         py_strip, collapse_ws, render_chat, ascii_ratio, word_set, looks_english,
         drop_empty_turns, token_length_filter, token_length_filter_bpe, drop_reason, synth_user_turn, preview,
@@ -596,7 +684,7 @@ def queries() -> dict[str, Query]:
         filter_report, avg_tokens, split_totals, n_sequences, dataset_manifest, corpus_count,
         parse_blocks, pair_turns, seeded_shuffle, exact_split, global_offset, pack_blocks,
         pack_corpus_bpe, pack_chat_bpe, xy_shift, batch_plan, eval_plan, chat_context,
-        limit_n, limit_pairs, topk_ties, argmax, concat_streams, word_intersect,
+        limit_n, limit_pairs, source_pairs, source_pairs_parsed, topk_ties, argmax, concat_streams, word_intersect,
         stream_format, stream_parse_blocks, stream_chat_context,
         bigram_counts, next_token_dist, heldout_loss, resize_embeddings,
     ]

@@ -419,6 +419,15 @@ UNION ALL SELECT count(*), 0, 'chat lines' FROM rendered """ + " ".join(
   count(*) FILTER (drop_reason = 'empty') AS "empty",
   count(*) FILTER (drop_reason = 'non_english') AS non_english,
   count(*) FILTER (drop_reason = 'too_long') AS too_long FROM labelled""",
+        "write_with_report": f"""WITH {LABELLED} SELECT
+  count(*) FILTER (drop_reason = 'kept') AS kept,
+  count(*) FILTER (drop_reason <> 'kept') AS skipped,
+  count(*) FILTER (drop_reason = 'empty') AS "empty",
+  count(*) FILTER (drop_reason = 'non_english') AS non_english,
+  count(*) FILTER (drop_reason = 'too_long') AS too_long,
+  (SELECT coalesce(sum(n_tokens), 0)::BIGINT FROM kept) AS tokens,
+  (SELECT round(coalesce(avg(n_tokens), 0), 6) FROM kept) AS avg_tokens,
+  (SELECT count(*) FROM kept) AS lines FROM labelled""",
         "avg_tokens": f"WITH {LABELLED} SELECT round(coalesce(avg(n_tokens), 0), 6) AS avg_tokens"
                       " FROM kept",
         "split_totals": f"""WITH {CHAT} {totals}
@@ -471,6 +480,10 @@ WHERE block_id // least({C.EVAL_BATCH}, n)
         "chat_context": contexts,
         "limit_n": f"WITH {STORIES} SELECT doc_id, text FROM stories ORDER BY doc_id"
                    f" LIMIT {C.LIMIT_ROWS}",
+        "source_pairs": f"""SELECT doc_id, {q(DEFAULT_USER_TURN)} AS "user", assistant, 'documents.parquet' AS source
+FROM (SELECT doc_id, {collapse("coalesce(text, '')")} AS assistant FROM documents)
+WHERE assistant <> '' ORDER BY doc_id LIMIT {C.LIMIT_ROWS}""",
+        "source_pairs_parsed": parsed + f" ORDER BY src, end_line LIMIT {C.LIMIT_ROWS}",
         "limit_pairs": parsed + f" ORDER BY src, end_line LIMIT {C.LIMIT_ROWS}",
         "topk_ties": f"""WITH {BIGRAMS} SELECT x::BIGINT AS x, y::BIGINT AS y, n FROM bigrams
 QUALIFY rank() OVER (PARTITION BY x ORDER BY n DESC) <= {C.TOP_K}""",

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textpack.constants import MAX_VOCAB_SIZE
+from textpack.operators.report import observed, report_of
 from textpack.operators.vocabulary import MERGES_SCHEMA, VOCAB_SCHEMA, Vocabulary
 
 PAIR_SCHEMA = "user string, assistant string"
@@ -71,6 +72,13 @@ def write_formatted(formatted: DataFrame, path: str) -> None:
     formatted.select("line").write.mode("overwrite").text(path)
 
 
+def write_formatted_reporting(labelled: DataFrame, path: str) -> dict[str, int | float]:
+    """Write the kept lines of labelled pairs; what was kept and dropped and why, counted in the same pass."""
+    rows, counts = observed(labelled, "formatted")
+    write_formatted(rows.where("drop_reason = 'kept'"), path)
+    return report_of(counts.get)
+
+
 def read_formatted(spark: SparkSession, path: str) -> DataFrame:
     """Non-empty formatted lines; a folder without any is an error."""
     lines = spark.read.text(path).select(F.col("value").alias("line")).where("line <> ''")
