@@ -1,5 +1,9 @@
 """URL filter, HTML extraction, links and the pipeline."""
 
+import math
+import time
+from collections import Counter
+
 import pytest
 
 import corpus_pipeline
@@ -115,3 +119,88 @@ def test_stages_take_awkward_tables(spark, stage):
     assert stage(spark, docs.limit(0), FOLDER).count() == 0
     assert "n_tokens" in found.columns or found.columns == docs.columns
     assert 0 < found.count() <= len(odd_rows())
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<p title='a > b'>text", "text"), ("""<p title='say "x' id="y">text""", "text"), ('<p title="open>text <b>more</b>', "text more"),
+    ("<p title=don't>text</p> it's", "text\nit's"), ('<a href="x"y">one</a> two', "one two")])
+def test_quotes(page, text):
+    assert "\n".join(b["text"] for b in html.parse_page(page)[1]) == text
+
+
+@pytest.mark.parametrize("name", [
+    "comment-list", "commentlist", "comments-area", "post-comments", "site-header", "site-footer", "ad-slot", "main-menu",
+    "wp-block-navigation", "share-buttons", "newsletter-signup"])
+def test_names_of_frames_in_an_article(name):
+    assert [b["text"] for b in html.parse_page(f"<article><p>a</p><div class='{name}'>b</div></article>")[1]] == ["a"]
+
+
+@pytest.mark.parametrize("page", ["<div>x" * 20_000, "<p title=\"x>y" * 20_000, "<div class='a" * 20_000, "<li>x" * 20_000])
+def test_hostile_pages_take_time_in_proportion(page):
+    def seconds(n):
+        start = time.perf_counter()
+        html.parse_page(page[:len(page) // n])
+        return time.perf_counter() - start
+
+    assert seconds(1) < 4 * 4 * seconds(4) + 1
+    assert len(html.parse_page(page)[0]) <= 20_001
+
+
+def brute_importance(pages):
+    """Importance of every node, with all pages of a host side by side."""
+    by_host = {}
+    for host, page in pages:
+        nodes, _ = html.parse_page(page)
+        by_host.setdefault(host, {})[html.identity(nodes)] = by_host.get(host, {}).get(html.identity(nodes), set()) | {
+            (n["node"], n["style"], n["content"]) for n in nodes}
+    found = {}
+    for host, seen in by_host.items():
+        rows = [(n, s, c) for own in seen.values() for n, s, c in own]
+        for node in {r[0] for r in rows}:
+            own = [r for r in rows if r[0] == node]
+            shares = []
+            for place in (1, 2):
+                counts = Counter(r[place] for r in own)
+                shares.append(-sum(c / len(own) * math.log(c / len(own)) for c in counts.values()))
+            found[host, node] = max(shares) / math.log(len(own)) if len(own) >= html.LEAST_PAGES else 1.0
+    return found
+
+
+def site(i, story):
+    return (f"<body><div><a>Home</a> About</div><div><article><div class=toplinks>Read also</div><h1>T{i}</h1><p>{story}</p>"
+            f"<div><p>box {story}</p></div><div class=legal>All rights reserved</div></article></div><div>Imprint</div>"
+            f"<div class='comment-list'><p>reader {i}</p></div></body>")
+
+
+def test_the_tree_judges_every_node(spark):
+    """Unnamed menus, footers and boxes that all pages share go, in the article too; what varies stays; copies stay whole."""
+    rows = [(i, f"http://a.org/{i}", site(i, f"story {i}")) for i in range(30)]
+    rows += [(100 + i, f"http://a.org/c{i}", site(7, "story 7")) for i in range(40)]  # copies of one page
+    rows += [(200 + i, f"http://b.org/{i}", site(5, "one story")) for i in range(30)]  # a site of copies only
+    rows += [(300 + i, f"http://c.org/{i}", f"<div>Menu</div><div>story {i}</div><div>Imprint</div>") for i in range(30)]
+    rows += [(400 + i, f"http://d.org/{i}", site(i, f"few {i}")) for i in range(3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in html.extract(pages).collect()}
+    assert len(found) == len(rows)
+    assert all(found[i] == f"T{i}\nstory {i}\nbox story {i}" for i in range(30))
+    assert all(found[100 + i] == "T7\nstory 7\nbox story 7" for i in range(40))
+    everything = "Home About\nRead also\nT5\none story\nbox one story\nAll rights reserved\nImprint"
+    assert all(found[200 + i] == everything for i in range(30))
+    assert all(found[300 + i] == f"story {i}" for i in range(30))
+    assert all(found[400 + i].startswith("Home About\nRead also") for i in range(3))
+    parsed = html.parsed_pages(pages, "page_id", "url", "html")
+    expected = brute_importance([(r[1].split("/")[2], r[2]) for r in rows])
+    got = {(r.host, r.node): r.importance for r in html.importance(parsed).collect()}
+    assert got == pytest.approx(expected)
+
+
+def test_given_pages_have_nodes(spark):
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
+    parsed = html.parsed_pages(pages, "page_id", "url", "html")
+    assert parsed.where("size(nodes) < 3").count() == 0 and html.importance(parsed).count() > 100
+
+
+def test_pages_with_clashing_columns(spark):
+    pages = spark.createDataFrame([(1, "http://a.org", "<p>a", "k", "t", "r", 5)],
+                                  "page_id long, url string, html string, key string, text string, row string, low int")
+    assert [tuple(r) for r in html.extract(pages).collect()] == [(1, "http://a.org", "a")]

@@ -1,25 +1,31 @@
 """Main text of web pages by site style trees.
 
-All pages of a host are merged into one tree of styles: a node is the path of tags, roles and
-classes from the root, and it counts on how many pages it occurs, which children it has there (its
+All pages of a host are merged into one tree of styles: a node is the path of containers (tags, roles, classes and the place among
+siblings of the same style) from the root. It is counted on how many different pages it occurs, which children it has there (its
 presentation) and which texts it holds (its contents). A node whose presentations and contents hardly vary from page to page is
 part of the site's frame: its importance is the larger of the two entropies, each as a share of the most its
-pages could give. The tags and class names of menus, headers, footers and the like have importance 0, ``article`` and ``main``
-have 1, and their inner nodes are judged by name alone, so that articles shared by many pages stay.
+pages could give. Every container is counted and judged, those in the article too. Pages of the same main text count once, so that copies
+don't make an article look like a frame.
+
+Names are the prior. What the tags and class names of menus, headers, footers and the like hold has importance 0 whatever the
+tree says, as menus and adverts do change from page to page. ``article`` and ``main`` have 1; a node in them is cut by the tree if they
+themselves vary on the site and it doesn't.
 
 The merged tree is never in one place: pages emit counts of nodes, which are added up before and after one
-shuffle, and get back the importance of their own nodes.
+shuffle, and get back which of their own nodes are of low importance.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textpack.llm.urls import split_url
@@ -36,8 +42,16 @@ FRAME_WORDS = {
     "consent", "cookie", "cookies", "disqus", "footer", "header", "menu", "modal", "nav", "navbar", "navigation",
     "newsletter", "notice", "popup", "promo", "related", "respond", "share", "sharing", "sidebar", "social", "sponsor",
     "sponsored", "subscribe", "toolbar", "widget"}
+#: Words that only say more of a frame, and those that make a name a mention of it. Some words name a frame beside any other.
+FILLERS = {"site", "main", "list", "area", "slot", "button", "buttons", "bar", "box", "container", "wrapper", "inner", "links", "block",
+           "wp", "signup", "top", "bottom", "primary", "global"}
+MENTIONS = {"has", "no", "with", "without", "is", "enabled", "disabled", "open", "closed", "count"}
+FRAME_ANYWHERE = {"comment", "comments", "commentlist", "advert", "advertisement", "navigation", "newsletter"}
 MAIN_TAGS, MAIN_WORDS = {"article", "main"}, {"main"}
 NEVER_FRAME = {"html", "body", *MAIN_TAGS}
+CONTAINERS = {
+    "article", "aside", "body", "center", "details", "dialog", "div", "dl", "fieldset", "figure", "footer", "form", "header", "main", "menu",
+    "nav", "ol", "section", "table", "td", "ul"}
 BLOCKS = {
     "address", "article", "aside", "blockquote", "body", "br", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl",
     "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "html", "legend",
@@ -47,40 +61,58 @@ BLOCKS = {
 IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
            "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
            "option": ({"option"}, {"select"}), "body": ({"head"}, set())}
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*\Z", re.S)
+# Quoted values may hold a >, but no <: a quote that isn't closed ends with its tag.
+_TAG = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"'<]++|"[^"<]*"|'[^'<]*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>"""
+    r"""|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*\Z""", re.S)
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _WHITE = re.compile(r"\s+")
 _PARTS = re.compile(r"[_-]+")
 
 
+PLAIN, FRAME, MAIN, PAGE = 0, 1, 2, 3
+
+
 class Node:
-    __slots__ = ("key", "tag", "children", "role")
+    """A container. ``kind`` is PLAIN, FRAME, MAIN for the outermost element of the main text, or PAGE for html and body."""
+
+    __slots__ = ("key", "parent", "role", "kind", "styles", "seen", "content")
 
-    def __init__(self, key: int, tag: str, role: str):
-        self.key, self.tag, self.role, self.children = key, tag, role, []
+    def __init__(self, key: int, parent: int, role: str, kind: int):
+        self.key, self.parent, self.role, self.kind = key, parent, role, kind
+        self.styles: list[str] = []
+        self.seen: Counter = Counter()
+        self.content = xxhash.xxh64()
+
+
+def names_frame(name: str) -> bool:
+    """Whether a class name as a whole names a frame: ``site-footer`` does, ``has-sidebar`` only mentions one."""
+    parts = set(_PARTS.split(name))
+    if parts & MENTIONS:
+        return False
+    return bool(parts & FRAME_ANYWHERE) or bool(parts & FRAME_WORDS) and FRAME_WORDS | FILLERS >= parts
 
 
 def role_of(tag: str, names: set[str], parent: str) -> str:
     """``frame``, ``main`` or nothing; what lies in either stays in it, but a frame may lie in main.
 
-    ``names`` are whole: one that is made of frame words only names a frame, ``has-sidebar`` doesn't. No name makes a frame
-    of a whole page or of its main text.
+    No name makes a frame of a whole page or of its main text.
     """
-    named = tag not in NEVER_FRAME and any(FRAME_WORDS.issuperset(_PARTS.split(n)) for n in names)
-    if parent == "frame" or tag in FRAME_TAGS or named:
+    if parent == "frame" or tag in FRAME_TAGS or tag not in NEVER_FRAME and any(map(names_frame, names)):
         return "frame"
     return "main" if parent == "main" or tag in MAIN_TAGS or names & MAIN_WORDS else ""
 
 
-def parse(page: str) -> tuple[list[Node], list[tuple[tuple[int, ...], str]]]:
-    """Style nodes of a page, and its blocks of text with the numbers of the nodes above each.
+def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
+    """Containers of a page, each after its parent, and the blocks of text with the container that holds each.
 
     Broken markup is read as browsers do in the main: a paragraph ends where a block starts, unclosed
-    elements end with what holds them, stray end tags and a tag that is cut off mean nothing.
+    elements end with what holds them, stray end tags and a tag that is cut off mean nothing. Takes memory in proportion to the
+    page, however deep it nests.
     """
-    nodes = [Node(0, "", "")]
-    stack: list[tuple[str, int]] = [("", 0)]  # open elements, each with its nearest style node
-    blocks: list[tuple[tuple[int, ...], str]] = []
+    nodes = [Node(0, 0, "", PAGE)]
+    stack: list[tuple[str, int]] = [("", 0)]  # open elements, each with its container
+    blocks: list[tuple[int, str]] = []
     text: list[str] = []
     at = 0
 
@@ -90,7 +122,8 @@ def parse(page: str) -> tuple[list[Node], list[tuple[tuple[int, ...], str]]]:
         block = _WHITE.sub(" ", html.unescape("".join(text))).strip()
         text.clear()
         if block:
-            blocks.append((tuple(dict.fromkeys(n for _, n in stack)), block))
+            blocks.append((stack[-1][1], block))
+            nodes[stack[-1][1]].content.update(block + "\n")
 
     def end(tags: set[str], barrier: set[str]) -> None:
         """Close the nearest open element of ``tags``, if none of ``barrier`` lies above it."""
@@ -107,13 +140,10 @@ def parse(page: str) -> tuple[list[Node], list[tuple[tuple[int, ...], str]]]:
         if at < m.start():
             text.append(page[at:m.start()])
         at = m.end()
-        tag, attributes = (m[2] or "").lower(), m[3] or ""
+        tag, attributes = (m[2] or m[5] or "").lower(), m[3] or m[6] or ""
         if not tag:
             continue
-        while attributes.count('"') % 2 and (more := page.find(">", at)) >= 0:  # a > within quotes
-            attributes += page[at - 1:more]
-            at = more + 1
-        if m[1]:
+        if m[1] or m[4]:
             if tag in BLOCKS:
                 flush()
             end({tag}, set() if tag in BLOCKS or tag in FRAME_TAGS else BLOCKS)
@@ -131,15 +161,16 @@ def parse(page: str) -> tuple[list[Node], list[tuple[tuple[int, ...], str]]]:
             continue
         parent = nodes[stack[-1][1]]
         whole = {w for _, v in _NAMES.findall(attributes) for n in v.strip("\"'").lower().split() if (w := n.strip("_-"))} if attributes else set()
-        names = {w for n in whole for w in _PARTS.split(n)}
         role = role_of(tag, whole, parent.role)
-        if tag not in BLOCKS and role == parent.role:
+        if tag not in CONTAINERS and role == parent.role:
             stack.append((tag, stack[-1][1]))
             continue
         flush()
-        style = f"{tag} {' '.join(sorted(names))}"
-        parent.children.append(style)
-        nodes.append(Node(xxhash.xxh64_intdigest(f"{parent.key} {style}"), tag, role))
+        style = f"{tag} {' '.join(sorted(w for n in whole for w in _PARTS.split(n)))}"
+        parent.styles.append(style)
+        kind = PAGE if tag in ("html", "body") else FRAME if role == "frame" else MAIN if role != parent.role else PLAIN
+        nodes.append(Node(xxhash.xxh64_intdigest(f"{parent.key} {style} {parent.seen[style]}"), stack[-1][1], role, kind))
+        parent.seen[style] += 1
         stack.append((tag, len(nodes) - 1))
     text.append(page[at:])
     flush()
@@ -147,31 +178,30 @@ def parse(page: str) -> tuple[list[Node], list[tuple[tuple[int, ...], str]]]:
 
 
 def parsed_pages(pages: DataFrame, key: str, url: str, page: str) -> DataFrame:
-    """Each row's host, its nodes (key, presentation, contents) outside of named parts, and blocks with the nodes above."""
+    """Each row's host, text by names alone, containers, and if the tree may cut any of them, the blocks with their containers."""
     host, _ = split_url(F.col("url"))
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(page).alias("html"))
     rows = rows.select("key", "url", host.alias("host"), F.coalesce("html", F.lit("")).alias("html"),
                        F.monotonically_increasing_id().alias("row"))
-    node = "struct<node:bigint,style:bigint,content:bigint>"
-    block = "struct<text:string,sure:boolean,above:array<bigint>>"
+    node = pa.struct([("node", pa.int64()), ("parent", pa.int32()), ("kind", pa.int8()), ("style", pa.int64()), ("content", pa.int64())])
+    block = pa.struct([("text", pa.string()), ("at", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
-                all_nodes, all_blocks = [], []
-                for body in part.column("html").to_pylist():
-                    nodes, blocks = parse_page(body)
-                    all_nodes.append(nodes)
-                    all_blocks.append(blocks)
+                parsed = [parse_page(body) for body in part.column("html").to_pylist()]
+                open_ = [any(n["kind"] == PLAIN for n in nodes) for nodes, _ in parsed]
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:3], part.column("row"),
-                     pa.array(all_nodes, pa.list_(pa.struct([("node", pa.int64()), ("style", pa.int64()), ("content", pa.int64())]))),
-                     pa.array(all_blocks, pa.list_(pa.struct([("text", pa.string()), ("sure", pa.bool_()), ("above", pa.list_(pa.int64()))])))],
-                    names=["key", "url", "host", "row", "nodes", "blocks"])
+                    [*part.columns[:3], part.column("row"), pa.array([identity(nodes) for nodes, _ in parsed], pa.int64()),
+                     pa.array(["\n".join(b["text"] for b in blocks) for _, blocks in parsed], pa.string()),
+                     pa.array([nodes for nodes, _ in parsed], pa.list_(node)),
+                     pa.array([blocks if o else None for (_, blocks), o in zip(parsed, open_)], pa.list_(block))],
+                    names=["key", "url", "host", "row", "page", "text", "nodes", "blocks"])
 
     kind = dict(pages.dtypes)[key]
-    return rows.mapInArrow(
-        run, f"key {kind}, url string, host string, row long, nodes array<{node}>, blocks array<{block}>")
+    return rows.mapInArrow(run, f"""
+        key {kind}, url string, host string, row long, page long, text string,
+        nodes array<struct<node:bigint,parent:int,kind:tinyint,style:bigint,content:bigint>>, blocks array<struct<text:string,at:int>>""")
 
 
 def signed(x: int) -> int:
@@ -179,34 +209,28 @@ def signed(x: int) -> int:
 
 
 def parse_page(body: str) -> tuple[list[dict], list[dict]]:
-    """Nodes that the site's tree judges, and the blocks outside of frames; blocks in main are sure."""
+    """All containers, and the blocks that no name puts into a frame."""
     nodes, blocks = parse(body)
-    contents: dict[int, list[str]] = {}
-    presentations: dict[int, list[str]] = {}
-    kept, judged = [], set()
-    for path, text in blocks:
-        role = nodes[path[-1]].role
-        if role == "frame":
-            continue
-        above = [i for i in path[1:] if not nodes[i].role and nodes[i].tag not in ("html", "body")]
-        for i in above:
-            contents.setdefault(nodes[i].key, []).append(text)
-        judged.update(above)
-        kept.append({"text": text, "sure": role == "main",
-                     "above": [] if role == "main" else [signed(nodes[i].key) for i in above]})
-    for i in sorted(judged):
-        presentations.setdefault(nodes[i].key, []).extend(nodes[i].children)
-    return [{"node": signed(k), "style": signed(xxhash.xxh64_intdigest("\n".join(presentations[k]))),
-             "content": signed(xxhash.xxh64_intdigest("\n".join(contents[k])))} for k in presentations], kept
+    for node in reversed(nodes[1:]):  # a container's content includes that of those in it
+        nodes[node.parent].content.update(node.content.digest())
+    return [{"node": signed(n.key), "parent": n.parent, "kind": n.kind, "style": signed(xxhash.xxh64_intdigest("\n".join(n.styles))),
+             "content": signed(n.content.intdigest())} for n in nodes], [
+        {"text": text, "at": at} for at, text in blocks if nodes[at].role != "frame"]
+
+
+def identity(nodes: list[dict]) -> int:
+    """What makes a page differ from others of its site: its main text, or all of it if none is named."""
+    return next((n["content"] for n in nodes if n["kind"] == MAIN), nodes[0]["content"])
 
 
 def importance(parsed: DataFrame) -> DataFrame:
-    """``(host, node, importance)`` of every node of every host.
+    """``(host, node, importance)`` of every container of every host.
 
-    Entropies are sums over the distinct presentations and contents of a node, taken from counts; the larger one
+    Entropies are sums over the distinct presentations and contents of a node, taken from counts of different pages; the larger one
     is divided by the log of the node's pages. A node of few pages is important.
     """
-    seen = parsed.select("host", F.explode("nodes").alias("n")).select("host", "n.*")
+    seen = materialize(parsed.select("host", "page", F.explode("nodes").alias("n"))
+                       .select("host", "page", "n.node", "n.style", "n.content").distinct(), "style-tree")
 
     def entropy(of: str) -> DataFrame:
         counts = seen.groupBy("host", "node", of).agg(F.count("*").alias("c"))
@@ -219,24 +243,39 @@ def importance(parsed: DataFrame) -> DataFrame:
     return both.select("host", "node", F.when(F.col("pages") < LEAST_PAGES, 1.0).otherwise(share).alias("importance"))
 
 
+def kept_text(nodes: list[dict], blocks: list[dict], low: set[int]) -> str:
+    """The blocks outside of containers that are cut: those of low importance, but in a main text only if that isn't."""
+    gone, same = [False] * len(nodes), [False] * len(nodes)  # cut; in a main text that hardly varies
+    for i, n in enumerate(nodes[1:], 1):
+        same[i] = same[n["parent"]] or n["kind"] == MAIN and n["node"] in low
+        gone[i] = gone[n["parent"]] or n["kind"] == PLAIN and n["node"] in low and not same[i]
+    return "\n".join(b["text"] for b in blocks if not gone[b["at"]])
+
+
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html",
             threshold: float = THRESHOLD) -> DataFrame:
     """Main text of each row: ``key, url, text``.
 
     Character references are decoded, white space in a block is one space, blocks are joined by one line feed in
-    page order. A null, empty or textless page has an empty text; pages without a host share one tree. Repeated rows are kept.
+    page order. A null, empty or textless page has an empty text; pages without a host share one tree. Sites of fewer than
+    LEAST_PAGES different pages are judged by names alone. Repeated rows are kept.
     """
     parsed = materialize(parsed_pages(pages, key, url, page), "parsed-pages")
-    # Pages whose blocks are all in main need no judgement, and their texts no shuffle.
-    judged = F.exists("blocks", lambda b: ~b["sure"])
-
-    def joined(rows: DataFrame, blocks: Column) -> DataFrame:
-        text = F.array_join(F.transform(blocks, lambda b: b["text"]), "\n")
-        return rows.select(F.col("key").alias(key), F.col("url").alias(url), text.alias("text"))
-
     low = importance(parsed).where(F.col("importance") < threshold).select("host", "node")
-    rest = parsed.where(judged)
-    asked = rest.select("row", "host", F.explode("nodes").alias("n")).select("row", "host", "n.node")
-    cut = asked.join(low, ["host", "node"]).groupBy("row").agg(F.collect_set("node").alias("cut"))
-    kept = F.filter("blocks", lambda b: b["sure"] | F.col("cut").isNull() | ~F.arrays_overlap(b["above"], F.col("cut")))
-    return joined(parsed.where(~judged), F.col("blocks")).unionByName(joined(rest.join(cut, "row", "left"), kept))
+    asked = parsed.where("blocks IS NOT NULL").select("row", "host", F.explode("nodes").alias("n")).select("row", "host", "n.node", "n.kind")
+    cut = (asked.where(F.col("kind").isin(PLAIN, MAIN)).join(low, ["host", "node"]).groupBy("row")
+           .agg(F.collect_set("node").alias("low"), F.min("kind").alias("kind")))
+    # Written first, so that Spark knows its size: texts are shuffled only if many pages have something to cut.
+    cut = materialize(cut.where(F.col("kind") == PLAIN).select("row", "low"), "cut")
+    names = [key, url, "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for i in np.flatnonzero(batch.column("low").is_valid().to_numpy(zero_copy_only=False)).tolist():
+                texts[i] = kept_text(*(batch.column(c)[i].as_py() for c in ("nodes", "blocks")), set(batch.column("low")[i].as_py()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=names)
+
+    judged = parsed.where("blocks IS NOT NULL").join(cut, "row", "left").select("key", "url", "text", "nodes", "blocks", "low")
+    plain = parsed.where("blocks IS NULL").select(F.col("key").alias(key), F.col("url").alias(url), "text")
+    return plain.unionByName(judged.mapInArrow(run, plain.schema))
