@@ -204,3 +204,11 @@ def test_pages_with_clashing_columns(spark):
     pages = spark.createDataFrame([(1, "http://a.org", "<p>a", "k", "t", "r", 5)],
                                   "page_id long, url string, html string, key string, text string, row string, low int")
     assert [tuple(r) for r in html.extract(pages).collect()] == [(1, "http://a.org", "a")]
+
+
+def test_hosts_of_very_many_labels():
+    array = urls.RuleArray(urls.rule_bytes([("block", "b.example.org", "/"), ("allow", "org", "/")]))
+    start = time.perf_counter()
+    found = array.longest(["a." * 20_000 + "b.example.org", "x" * 30_000 + ".org", "." * 20_000, "b.example.org.", ""], ["/"] * 5)
+    assert time.perf_counter() - start < 1
+    assert [array.string(i).decode() if i >= 0 else None for i in found] == ["b.example.org\n/", "org\n/", None, None, None]

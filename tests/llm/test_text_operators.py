@@ -100,6 +100,19 @@ def test_files_hold_all_ids_in_order(spark):
     assert packing.round_trip(table(spark, []), PATH).count() == 0
 
 
+def test_rows_of_one_key_are_several_ranges(spark):
+    rows = [(None if i % 2 else 7, f"text {i * 7919 % 1000:03d}") for i in range(400)]
+    folder = scratch_path(spark, "ids-test")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would be one range
+    try:
+        manifest = packing.write_ids(table(spark, rows), PATH, folder)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert manifest.where("n_docs > 0").count() > 2 and manifest.agg(F.max("n_docs")).first()[0] < 200
+    found = [r.n_tokens for r in packing.read_ids(manifest, folder).orderBy("start").collect()]
+    assert found == [len(LIBRARY.encode(t).ids) + 1 for _, t in sorted(rows, key=lambda r: (r[0] is not None, r[1]))]
+
+
 def test_any_ids_can_be_read_alone(tmp_path):
     ids = np.random.default_rng(1).integers(0, 50257, 20_000)
     with pa.OSFile(str(tmp_path / "f"), "wb") as stream:

@@ -31,6 +31,8 @@ from textpack.session import materialize, scratch_path
 MAGIC = b"TPBITS01"
 #: Ids of a block; a multiple of 64.
 BLOCK = 4096
+#: Letters of a text that part rows of one key.
+RANGE_LETTERS = 64
 MANIFEST = "part int, file string, n_docs long, n_ids long"
 
 
@@ -182,8 +184,9 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0,
             {"part": pa.array([part], pa.int32()), "file": [name], "n_docs": pa.array([n_docs], pa.int64()),
              "n_ids": pa.array([writer.n_ids], pa.int64())})
 
-    rows = (docs.select(F.col(key).cast("long").alias(key), text).repartitionByRange(key)
-            .sortWithinPartitions(key, text))
+    # Rows of one key are dealt by how their texts begin, so that many rows of a key are several ranges.
+    rows = (docs.select(F.col(key).cast("long").alias(key), text)
+            .repartitionByRange(F.col(key), F.substring(text, 1, RANGE_LETTERS)).sortWithinPartitions(key, text))
     return materialize(rows.mapInArrow(run, MANIFEST), "id-files")
 
 

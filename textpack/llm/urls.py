@@ -65,6 +65,8 @@ class RuleArray:
         self.sizes = np.frombuffer(data, "<i8", k, at + 16 * n).tolist()[::-1]
         self.block = np.frombuffer(data, np.uint8, n, at + 16 * n + 8 * k)
         self.data, self.strings = data, at + 17 * n + 8 * k
+        #: Labels of the rule host that has most; no longer suffix of a host needs to be asked for.
+        self.labels = max((self.string(i).partition(b"\n")[0].count(b".") + 1 for i in range(n)), default=0)
 
     def string(self, i: int) -> bytes:
         start = int(self.ends[i - 1]) if i else 0
@@ -90,7 +92,7 @@ class RuleArray:
         """The longest rule that fits each URL, or -1; of two of one length, that of the longer host."""
         asks, owners, order = [], [], []
         for i, (host, path) in enumerate(zip(hosts, paths)):
-            labels = host
+            labels = ".".join(host.rsplit(".", self.labels)[-self.labels:]) if self.labels else host
             while True:
                 for size in self.sizes:
                     if size <= len(path):
