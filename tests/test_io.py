@@ -134,3 +134,26 @@ def test_a_build_that_dies_leaves_the_last_one(spark, tmp_path):
     assert [r.tokens for r in load(dying).collect()] == [[1]]
     assert [r.tokens for r in load(lambda: blocks(3), force=True).collect()] == [[3]]
     assert [r.tokens for r in held.collect()] == [[1]] and [r.tokens for r in load(dying).collect()] == [[3]]
+
+
+def test_an_array_file_is_read_by_many_tasks(spark, tmp_path):
+    """One JSON array without line breaks, with braces, quotes and escapes in its strings, cut anywhere."""
+    import random
+    draw = random.Random(3)
+    parts = ["{", "}", '"', "\\", "},{", '"},{"user":"', "é", "\n", "[", "]", ",", "word ", "\\\"", "\U0001f600", "}}}", " "]
+    rows = [{"conv_id": i, "user": "".join(draw.choice(parts) for _ in range(draw.randrange(30))),
+             "assistant": "".join(draw.choice(parts) for _ in range(draw.randrange(60)))} for i in range(3000)]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(json.dumps(rows[:2000], ensure_ascii=False))
+    (tmp_path / "in" / "b.json").write_text(json.dumps(rows[2000:], indent=1))
+    (tmp_path / "in" / "c.json").write_text("[]")
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        assert io.read_text_lines(spark, f"{tmp_path}/in", "}").rdd.getNumPartitions() > 10
+        got = io.read_pairs(spark, f"{tmp_path}/in", "conv_id long", array_file=True).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    assert sorted(map(tuple, got)) == [tuple(r.values()) for r in rows]
+    plain = io.read_pairs(spark, f"{tmp_path}/in/c.json", "conv_id long", array_file=True)
+    assert plain.count() == 0

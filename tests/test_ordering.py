@@ -147,3 +147,21 @@ def test_limit_of_ties_and_nulls(spark, n):
     got = sorted(map(tuple, O.limit_n(df, ["a", "b"], n).collect()), key=repr)
     order = [(r.a, r.b, r.c) for r in df.orderBy("a", "b", F.xxhash64("a", "b", "c")).collect()]
     assert got == sorted(order[:n], key=repr)
+
+
+@pytest.mark.parametrize("width, longest", [(2, 1 << 20), (16, 1 << 48), (1 << 16, 1 << 48), (1 << 16, 1 << 62)])
+def test_no_window_holds_more_than_its_share_of_chunks(spark, width, longest):
+    """Sparse keys as byte offsets are: every chunk of a level has a bounded number of chunks below it."""
+    rng = random.Random(width)
+    keys = {rng.randrange(longest) for _ in range(3000)} | set(range(100)) | {longest - 1}
+    rows = spark.createDataFrame([("a", k) for k in sorted(keys)], "src string, k long")
+    levels = O.chunk_buckets("k", width, longest)
+    fan_out = max(width, O.FAN_OUT)
+    for low, high in zip(levels, levels[1:]):
+        spread = rows.groupBy(high.alias("h")).agg((F.max(low) - F.min(low)).alias("n")).agg(F.max("n")).first()[0]
+        assert spread < fan_out
+    assert rows.agg(F.max(levels[-1])).first()[0] < fan_out
+    got = O.running(rows, "k", levels, ["src"], sums={"n": F.lit(1).cast("long")}, maxes={"last": F.col("k")})
+    order = sorted(keys)
+    assert {r.k: (r.n, r.last) for r in got.collect()} == {
+        k: (i, order[i - 1] if i else None) for i, k in enumerate(order)}

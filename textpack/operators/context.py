@@ -54,7 +54,7 @@ def place_turns(turns: DataFrame, vocabulary: Vocabulary, width: int = CHUNK_WID
         "pair_len", F.when(replied, F.size("pair_ids")).otherwise(0))
     # The lengths are read several times, the ids once.
     encoded = materialize(encoded, "turns")
-    return running(encoded, "turn", chunk_buckets("turn", width), ["conv_id"],
+    return running(encoded, "turn", chunk_buckets("turn", width, 1 << 32), ["conv_id"],
                    sums={"start": F.col("pair_len").cast("long")}, totals={"conv_len": "start"})
 
 

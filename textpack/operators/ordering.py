@@ -21,6 +21,9 @@ from textpack.session import materialize
 HASH_DIGITS = 4
 # Rows per chunk of one source or conversation; few have more than one chunk.
 CHUNK_WIDTH = 1 << 16
+# Chunks that one window looks at, and the largest key of a source: a byte of a file of 256 TB.
+FAN_OUT = 1 << 12
+LONGEST = 1 << 48
 
 
 def hash_key(seed: int | str, *parts: Column | str) -> Column:
@@ -51,10 +54,19 @@ def range_buckets() -> list[Column]:
     return [F.col(RANGE)]
 
 
-def chunk_buckets(key: Column | str, width: int = CHUNK_WIDTH) -> list[Column]:
-    """Chunks of ``width`` consecutive keys within one source or conversation."""
+def chunk_buckets(key: Column | str, width: int = CHUNK_WIDTH, longest: int = LONGEST) -> list[Column]:
+    """Chunks of ``width`` consecutive keys within one source or conversation, chunks of chunks and so on.
+
+    There are as many levels as keys up to ``longest`` need for at most ``width`` (or FAN_OUT, if that is more) chunks to lie in one of
+    the next level, so no window over chunks holds more, however sparse the keys are.
+    """
     key = F.col(key) if isinstance(key, str) else key
-    return [F.floor(key / F.lit(width))]
+    fan_out = max(width, FAN_OUT)
+    levels, size = [F.floor(key / F.lit(width))], width
+    while longest > size * fan_out:
+        size *= fan_out
+        levels.append(F.floor(key / F.lit(size)))
+    return levels
 
 
 def running(

@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textpack.constants import MAX_VOCAB_SIZE
+from textpack.operators.ordering import CHUNK_WIDTH, chunk_buckets, running
 from textpack.operators.report import observed, report_of
 from textpack.operators.vocabulary import MERGES_SCHEMA, VOCAB_SCHEMA, Vocabulary
+from textpack.session import materialize
 
 PAIR_SCHEMA = "user string, assistant string"
 MARK_SCHEMA = "place string, built long"
@@ -28,7 +30,7 @@ def lines_of_rows(rows: DataFrame, src: str, text: str = "text") -> DataFrame:
         F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("line_no", "line"))
 
 
-def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_text_lines(spark: SparkSession, path: str, separator: str = "\n") -> DataFrame:
     """Text files as (src, line_no, line), splitting large files over many tasks.
 
     ``line_no`` orders the lines of a file and is unique in it, but leaves gaps: it is the byte
@@ -36,7 +38,7 @@ def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
     Write the result before using it in more than one query with differing read settings.
     """
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return spark.read.text(path).select(
+    return spark.read.text(path, lineSep=separator).select(
         F.col("_metadata.file_path").alias("src"),
         (F.col("_metadata.file_block_start") + place).alias("line_no"),
         F.col("value").alias("line"))
@@ -62,10 +64,35 @@ def write_pairs(pairs: DataFrame, path: str) -> None:
 
 def read_pairs(spark: SparkSession, path: str, extra: str = "", array_file: bool = False
                ) -> DataFrame:
-    """Pairs from JSON Lines. ``array_file`` reads a file that is one JSON array; such a file
-    cannot be split, so convert it once."""
+    """Pairs from JSON Lines, or with ``array_file`` from files that are one JSON array each."""
     schema = f"{extra}, {PAIR_SCHEMA}" if extra else PAIR_SCHEMA
-    return spark.read.schema(schema).option("multiLine", array_file).json(path)
+    return read_json_array(spark, path, schema) if array_file else spark.read.schema(schema).json(path)
+
+
+def read_json_array(spark: SparkSession, path: str, schema: str, width: int = CHUNK_WIDTH) -> DataFrame:
+    """Rows of files that hold one JSON array of objects without objects in them, however large a file is.
+
+    A file is read in splits, cut at every closing brace. Whether a brace lies in a string follows from the number of
+    quotes before it in the file, a running sum over the splits. Most objects are one such part; only parts that
+    a brace within a string has cut are shuffled to be put together. An object that isn't valid, or breaks off, is a row of nulls.
+    """
+    parts = read_text_lines(spark, path, "}")
+    # An escape is two characters; the one after a backslash is no quote. None spans a cut: \} is no escape.
+    bare = F.regexp_replace("line", r"(?s)\\.", "")
+    parts = materialize(parts.withColumn("quotes", (F.length(bare) - F.length(F.replace(bare, F.lit('"')))).cast("long")), "array-parts")
+    placed = running(parts, "line_no", chunk_buckets("line_no", width), ["src"], sums={"before": F.col("quotes")})
+    starts_inside = F.col("before") % 2 == 1
+    ends_inside = (F.col("before") + F.col("quotes")) % 2 == 1
+    whole = placed.where(~starts_inside & ~ends_inside & F.contains("line", F.lit("{"))).select("line")
+    broken = placed.where(starts_inside | ends_inside).withColumn("inside", starts_inside).select("src", "line_no", "line", "inside")
+    begun = running(broken, "line_no", chunk_buckets("line_no", width), ["src"],
+                    maxes={"first": F.when(~F.col("inside"), F.col("line_no"))})
+    own = F.when(F.col("inside"), F.col("first")).otherwise(F.col("line_no"))
+    joined = begun.groupBy("src", own.alias("first")).agg(
+        F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("parts")).select(
+        F.array_join(F.transform("parts", lambda p: p["line"]), "}").alias("line"))
+    spelled = F.concat(F.substring("line", F.instr("line", "{"), F.length("line")), F.lit("}"))
+    return whole.unionByName(joined).select(F.from_json(spelled, schema).alias("o")).select("o.*")
 
 
 def write_formatted(formatted: DataFrame, path: str) -> None:
