@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textpack.llm.components import connect
-from textpack.llm.words import free_name, schema_with, texts_of
+from textpack.llm.words import by_slice, free_name, schema_with, texts_of
 from textpack.session import materialize
 
 SEED, RADIUS = 42, 2
@@ -101,12 +101,11 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     fp, row = free_name(docs, "_fp"), free_name(docs, "_row")
     names = [*docs.columns, fp]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            prints = np.array([fingerprint(t, shingle, seed) for t in texts_of(batch.column(at))], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints.view(np.int64))], names=names)
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        prints = np.array([fingerprint(t, shingle, seed) for t in texts_of(batch.column(at))], dtype=np.uint64)
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints.view(np.int64))], names=names)
 
-    written = docs.mapInArrow(run, schema_with(docs, f"`{fp}` bigint")).withColumn(row, F.monotonically_increasing_id())
+    written = docs.mapInArrow(by_slice(work, text), schema_with(docs, f"`{fp}` bigint")).withColumn(row, F.monotonically_increasing_id())
     written = materialize(written, "fingerprinted")
     rows = written.select(F.struct(F.col(key).isNull(), F.col(key), F.col(row)).alias("order"), F.col(row).alias("row"), F.col(fp).alias("fp"))
     # Reduced to the first row of each fingerprint before the links are followed.
