@@ -192,6 +192,109 @@ def key_like(seed):
     return "".join(draw.choice("0123456789abcdef") for _ in range(40))
 
 
+class SlowState:
+    """Knows all strings that were read from it on, and nothing else."""
+
+    def __init__(self):
+        self.strings, self.moves = [], {}
+
+    def add(self, string):
+        self.strings.append(string)
+        if string:
+            self.moves.setdefault(string[0], SlowState()).add(string[1:])
+
+    def share(self, of):
+        """How many of the strings end here, or go on with a class."""
+        return sum(s[:1] == of for s in self.strings)
+
+
+def slow_compatible(a, b):
+    n1, n2 = len(a.strings), len(b.strings)
+    if min(n1, n2) < secrets.LEAST_VISITS:
+        return True
+    bound = math.sqrt(0.5 * math.log(2 / secrets.ALPHA)) * (1 / math.sqrt(n1) + 1 / math.sqrt(n2))
+    symbols = ["", *map(str, range(secrets.N_CLASSES))]
+    if any(abs(a.share(x) / n1 - b.share(x) / n2) > bound for x in symbols if x == "" or a.share(x) or b.share(x)):
+        return False
+    return all(a.moves[x] is b.moves[x] or slow_compatible(a.moves[x], b.moves[x]) for x in a.moves if x in b.moves)
+
+
+def slow_automaton(strings):
+    """Kept states in order, by reading strings anew for every merge."""
+    kept = [SlowState()]
+    for s in strings:
+        kept[0].add(s)
+    at = 0
+    while at < len(kept):
+        for c in sorted(kept[at].moves):
+            state = kept[at].moves[c]
+            if any(state is k for k in kept):
+                continue
+            same = next((k for k in kept if slow_compatible(k, state)), None)
+            if same is None:
+                kept.append(state)
+            else:
+                kept[at].moves[c] = same
+                for s in list(state.strings):
+                    same.add(s)
+        unknown = any(all(t is not k for k in kept) for k in kept[:at + 1] for t in k.moves.values())
+        at = 0 if unknown else at + 1
+    return kept
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_automata_are_those_of_a_slow_merge(seed):
+    draw = random.Random(seed)
+    kinds = [lambda: "".join(draw.choice("01") for _ in range(draw.randrange(12, 20))),
+             lambda: "2" * 3 + "".join(draw.choice("012") for _ in range(8)),
+             lambda: "".join(draw.choice(("01", "20", "3")) for _ in range(draw.randrange(4, 9)))]
+    strings = [draw.choice(kinds[:1 + seed % 3])() for _ in range(draw.choice((0, 1, 40, 250)))]
+    automaton, slow = secrets.Automaton(strings), slow_automaton(strings)
+    assert len(automaton.kept) == len(slow)
+    for state, other in zip(automaton.kept, slow):
+        assert automaton.visits[state] == len(other.strings) and automaton.ends[state] == other.share("")
+        assert {str(c): n for c, n in automaton.passes[state].items()} == {c: other.share(c) for c in other.moves}
+        assert {str(c): automaton.kept.index(t) for c, t in automaton.moves[state].items()} == {
+            c: next(i for i, k in enumerate(slow) if k is t) for c, t in other.moves.items()}
+    text, table = "".join(draw.choice("0123") for _ in range(15)), automaton.table()
+    state, total = slow[0] if slow else None, 0.0
+    for c in text:
+        logs = [math.log(state.share(str(x)) + secrets.ADDED) for x in range(secrets.N_CLASSES)] if state else None
+        if state is None:
+            total += table[-1][0][int(c)]
+            continue
+        total += logs[int(c)] - math.log(len(state.strings) + secrets.ADDED * (secrets.N_CLASSES + 1))
+        state = state.moves.get(c)
+    if state:
+        total += math.log(state.share("") + secrets.ADDED) - math.log(len(state.strings) + secrets.ADDED * (secrets.N_CLASSES + 1))
+    else:
+        total += table[-1][0][secrets.END]
+    assert secrets.log_likelihood(table, text) == pytest.approx(total)
+
+
+def slow_base_spans(text):
+    """By trying every start; one kind after the other."""
+    found = []
+    for kind, pattern, fits in (
+            ("assign", r"(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]"
+                       r"|[aA][pP][iI]_?[kK][eE][yY])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", lambda m: len(m[1]) >= 12),
+            ("access", r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 18), ("hex", r"[0-9a-f]+", lambda m: len(m[0]) >= 16)):
+        at = 0
+        while at < len(text):
+            m = re.compile(pattern).match(text, at)
+            if m and fits(m):
+                found.append((m.start(), m.end(), kind))
+            at = m.end() if m else at + 1
+    return sorted(found, key=lambda f: (f[0], ("assign", "access", "hex").index(f[2])))
+
+
+@given(st.lists(st.sampled_from(["password", "PassWd", "api_key", "APIKEY", "token", "secret", "AKIA", "=", ": ", "'", '"', " ", "\n", "é",
+                                 "0123456789", "abcdef", "ABCDEF12345678", "x", "-", "\u212a"]), max_size=14).map("".join))
+@settings(max_examples=300, deadline=None)
+def test_fixed_patterns_by_brute_force(text):
+    assert [(a, b, k) for a, b, k, _ in secrets.base_spans(text)] == slow_base_spans(text)
+
+
 def test_formats_tell_keys_from_words():
     ordinary = [prose(i, 3, ("andonheonly", "thetionwhich", "streedlyso")).replace(" ", "") for i in range(300)]
     formats = secrets.Formats({"assign": [key_like(i) for i in range(300)], "access": [], "hex": [], "format": ordinary})
