@@ -79,3 +79,17 @@ def test_counts_and_manifest(spark, grams):
     got = report.dataset_manifest({"a": rows, "b": grams}, 260).collect()
     assert sorted(map(tuple, got)) == [
         ("a", "rows", 2), ("a", "tokens", 7), ("b", "rows", 6), ("vocabulary", "tokens", 260)]
+
+
+@pytest.mark.parametrize("ids, sizes, fits", [
+    (range(5), [2] * 5, True), (range(4), [2] * 4, False), (range(6), [2] * 6, False), ([0, 1, 2, 3, 3], [2] * 5, False),
+    ([1, 2, 3, 4, 5], [2] * 5, False), (range(5), [2, 2, 3, 2, 2], False), ([], [], False)])
+def test_embeddings_must_fit_the_vocabulary(spark, ids, sizes, fits):
+    table = spark.createDataFrame([(i, [0.5] * n) for i, n in zip(ids, sizes)], "id long, embedding array<float>")
+    vocab = spark.createDataFrame([(i, str(i), False) for i in range(5)], "id int, token string, special boolean")
+    found = counts.check_embeddings(table, vocab)
+    if fits:
+        assert tuple(found.first()) == (5, 5, 2)
+    else:
+        with pytest.raises(Exception, match="embedding table"):
+            found.collect()

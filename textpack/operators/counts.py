@@ -72,6 +72,20 @@ def heldout_loss(train_counts: DataFrame, val_sequences: DataFrame, vocab_size:
         F.coalesce(F.sum("n_val"), F.lit(0)).alias("n_tokens"))
 
 
+def check_embeddings(embeddings: DataFrame, vocab: DataFrame) -> DataFrame:
+    """One row (vocab_size, n_rows, dim); fails unless the table has one row of one length for every id of the vocabulary."""
+    ids = vocab.agg(F.max("id") + 1).scalar()
+    found = embeddings.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_ids"), F.min("id").alias("low"),
+                           F.max("id").alias("high"), F.min(F.size("embedding")).alias("dim"),
+                           F.max(F.size("embedding")).alias("longest")).withColumn("vocab_size", ids.cast("long"))
+    fits = (F.col("n_rows") == F.col("vocab_size")) & (F.col("n_ids") == F.col("n_rows")) & (F.col("low") == 0) & (
+        F.col("high") == F.col("n_rows") - 1) & (F.col("dim") == F.col("longest"))
+    size = F.when(fits, F.col("vocab_size")).otherwise(F.raise_error(F.concat(
+        F.lit("the vocabulary has "), F.col("vocab_size").cast("string"), F.lit(" ids, the embedding table "),
+        F.col("n_rows").cast("string"), F.lit(" rows"))).cast("long"))
+    return found.select(size.alias("vocab_size"), "n_rows", F.col("dim").cast("long").alias("dim"))
+
+
 def resize_embeddings(embeddings: DataFrame, new_size: int, dim: int, seed: int | str = SEED,
                       std: float = INIT_STD) -> DataFrame:
     """(id, embedding) for ids 0..new_size-1: old rows are kept, new rows drawn from N(0, std).

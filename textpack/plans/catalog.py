@@ -672,6 +672,13 @@ def full_size() -> dict[str, Query]:
     return {q.__name__: q for q in listed}
 
 
+def check_embeddings(spark, folder):
+    """The embedding table, resized to the learned vocabulary with its control tokens, fits that vocabulary."""
+    vocab = learned(spark, folder).with_chat_tokens()
+    resized = counts.resize_embeddings(inputs.embeddings(spark, folder), vocab.size, DIM)
+    return counts.check_embeddings(resized, vocab.vocab_table(spark))
+
+
 def queries() -> dict[str, Query]:
     listed = [
         scan_corpus, scan_lines, source_fallback, read_pairs, write_pairs, write_formatted, write_with_report,
@@ -686,6 +693,6 @@ def queries() -> dict[str, Query]:
         pack_corpus_bpe, pack_chat_bpe, xy_shift, batch_plan, eval_plan, chat_context,
         limit_n, limit_pairs, source_pairs, source_pairs_parsed, topk_ties, argmax, concat_streams, word_intersect,
         stream_format, stream_parse_blocks, stream_chat_context,
-        bigram_counts, next_token_dist, heldout_loss, resize_embeddings,
+        bigram_counts, next_token_dist, heldout_loss, resize_embeddings, check_embeddings,
     ]
     return {q.__name__: q for q in listed}

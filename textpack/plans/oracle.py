@@ -405,6 +405,8 @@ SELECT doc_id, len(ids) AS n_tokens, {spell('ids')} AS ids
 FROM (SELECT doc_id, {merged_ids('text')} AS ids FROM documents)""",
         "assert_vocab_fits": f"WITH {LEARNED} SELECT count(*) + {len(CHAT_TOKENS)} AS vocab_size"
                              f" FROM v{C.MERGES}",
+        "check_embeddings": f"WITH {LEARNED} SELECT count(*) + {len(CHAT_TOKENS)} AS vocab_size, count(*) + {len(CHAT_TOKENS)} AS n_rows,"
+                            f" (SELECT max(len(embedding)) FROM embeddings)::BIGINT AS dim FROM v{C.MERGES}",
         "append_eos": f"""WITH {STORIES} SELECT doc_id, strlen(text) + 1 AS n_tokens,
   {spell(f'list_append({byte_ids("text")}, 0)')} AS ids FROM stories""",
         "bpe_decode": "SELECT doc_id, text FROM documents",
