@@ -156,3 +156,27 @@ def test_only_shares_of_broken_blocks_are_exchanged(spark):
     assert shared.count() == 1999
     before_group = [line for line in shared._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Generate" in line]
     assert len(before_group) == 2  # whole blocks, and at most four shares a row
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 16, 97, 1000])
+def test_every_epoch_is_a_permutation_of_its_own(spark, n):
+    rows = spark.range(n).select("id", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("epoch"))
+    got = rows.select("id", "epoch", pack.permuted(F.col("id"), F.col("epoch"), n, 3).alias("p")).orderBy("id").collect()
+    by_epoch = [[r.p for r in got if r.epoch == e] for e in (1, 2, 3)]
+    assert all(sorted(p) == list(range(n)) for p in by_epoch)
+    if n >= 97:
+        assert by_epoch[0] != by_epoch[1] != by_epoch[2]
+        # Neighbours land far apart: the mean distance of a random order is a third of n.
+        far = [sum(abs(a - b) for a, b in zip(p, p[1:])) / n for p in by_epoch]
+        assert all(0.25 * n < d < 0.42 * n for d in far)
+
+
+@pytest.mark.parametrize("n, b, accum", [(7, 2, 1), (10, 3, 2), (5, 2, 9), (64, 4, 3)])
+def test_a_permuted_plan_needs_no_shuffle(spark, n, b, accum):
+    plan = pack.batch_plan_permuted(spark, n, b, 2, accum)
+    assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+    sorted_plan = pack.batch_plan(spark.range(n).withColumnRenamed("id", "block_id"), b, 2, accum)
+    shape = ["epoch", "position", "batch", "step"]  # all but which block it is
+    assert sorted(map(tuple, plan.select(shape).collect())) == sorted(map(tuple, sorted_plan.select(shape).collect()))
+    with pytest.raises(ValueError, match="too few"):
+        pack.batch_plan_permuted(spark, 1, 2)

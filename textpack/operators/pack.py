@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,9 @@ from textpack.operators.ordering import (
     running,
 )
 
+# Rounds of the permutation of an epoch.
+SWAP_ROUNDS = 48
+
 
 def place_in_stream(encoded: DataFrame, order: Column | str, buckets: list[Column],
                     partition: list[str] | None = None) -> DataFrame:
@@ -105,6 +110,41 @@ def batch_plan(blocks: DataFrame, batch_size: int, epochs: int = 1, accum: int =
         F.floor(batch / F.lit(accum)).alias("step"))
 
 
+def permuted(block_id: Column, epoch: Column, n_blocks: int, epochs: int, seed: int | str = SEED) -> Column:
+    """Place of a block among ``n_blocks`` in a permutation of its own for every epoch, computed from its id alone.
+
+    A swap-or-not shuffle: each round pairs every place x with (k - x) mod n, for a k of that round, and a hash of the larger of the two
+    decides whether both swap. Every round is a permutation of 0..n-1 for any n, so all of them are.
+    """
+    def drawn(e: int, i: int) -> int:
+        return int(hashlib.md5(f"{seed}:{e}:{i}".encode()).hexdigest()[:15], 16) % n_blocks
+
+    keys = F.array(*[F.array(*[F.lit(drawn(e, i)).cast("long") for i in range(SWAP_ROUNDS)]) for e in range(1, epochs + 1)])
+
+    def round_(place: Column, i: Column) -> Column:
+        partner = F.pmod(F.element_at(F.element_at(keys, epoch.cast("int")), i + 1) - place, F.lit(n_blocks))
+        digest = F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), i.cast("string"),
+                                   F.greatest(place, partner).cast("string")))
+        return F.when(F.substring(digest, 1, 1) >= "8", partner).otherwise(place)
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(SWAP_ROUNDS - 1)), block_id.cast("long"), round_)
+
+
+def batch_plan_permuted(spark: SparkSession, n_blocks: int, batch_size: int, epochs: int = 1, accum: int = 1,
+                        seed: int | str = SEED) -> DataFrame:
+    """The batch plan of so many blocks, without a sort, a shuffle or a total: each row of (epoch, block_id, position, batch,
+    step) is computed by itself, for any number of blocks. The tail is left out as by ``batch_plan``."""
+    accum = max(1, accum)
+    full = n_blocks // batch_size
+    usable = min(full, max(1, full // accum) * accum)
+    rows = numbered_blocks(spark, n_blocks, batch_size).select(F.explode(F.sequence(F.lit(1), F.lit(epochs))).alias("epoch"), "block_id")
+    place = permuted(F.col("block_id"), F.col("epoch"), n_blocks, epochs, seed)
+    placed = rows.select("epoch", "block_id", F.inline(F.array(F.struct(place.alias("position")))))
+    return placed.where(F.col("position") < usable * batch_size).select(
+        "epoch", "block_id", "position", F.floor(F.col("position") / batch_size).alias("batch"),
+        F.floor(F.col("position") / (batch_size * accum)).alias("step"))
+
+
 def eval_plan(blocks: DataFrame, batch_size: int, max_batches: int) -> DataFrame:
     """Sequential validation batches (block_id, batch): at most ``max_batches``, tail left out."""
     n = blocks.agg(F.count(F.lit(1))).scalar()

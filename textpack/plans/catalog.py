@@ -461,6 +461,11 @@ def batch_plan(spark, folder):
     return pack.batch_plan(_story_block_ids(spark, folder, BATCH), BATCH, EPOCHS, ACCUM)
 
 
+def batch_plan_permuted(spark, folder):
+    lengths = _stories(spark, folder).select((K.byte_count("text", [EOS_TOKEN]) + 1).alias("n_tokens"))
+    return pack.batch_plan_permuted(spark, pack.block_count(lengths, CONTEXT), BATCH, EPOCHS, ACCUM)
+
+
 def eval_plan(spark, folder):
     return pack.eval_plan(_story_block_ids(spark, folder), EVAL_BATCH, EVAL_BATCHES)
 
@@ -690,7 +695,7 @@ def queries() -> dict[str, Query]:
         token_to_id, bpe_encode, assert_vocab_fits, append_eos, bpe_decode, roundtrip_check,
         filter_report, avg_tokens, split_totals, n_sequences, dataset_manifest, corpus_count,
         parse_blocks, pair_turns, seeded_shuffle, exact_split, global_offset, pack_blocks,
-        pack_corpus_bpe, pack_chat_bpe, xy_shift, batch_plan, eval_plan, chat_context,
+        pack_corpus_bpe, pack_chat_bpe, xy_shift, batch_plan, batch_plan_permuted, eval_plan, chat_context,
         limit_n, limit_pairs, source_pairs, source_pairs_parsed, topk_ties, argmax, concat_streams, word_intersect,
         stream_format, stream_parse_blocks, stream_chat_context,
         bigram_counts, next_token_dist, heldout_loss, resize_embeddings, check_embeddings,

@@ -24,6 +24,7 @@ from textpack.constants import (
     VAL_FRACTION,
     WS,
 )
+from textpack.operators.pack import SWAP_ROUNDS
 from textpack.plans import catalog as C
 from textpack.plans.inputs import LINES_PER_TURN
 
@@ -475,6 +476,16 @@ SELECT epoch, block_id, position, position // {C.BATCH} AS batch,
   position // {C.BATCH} // {C.ACCUM} AS step FROM ranked, n
 WHERE position // {C.BATCH} < least(n // {C.BATCH},
   greatest(1, n // {C.BATCH} // {C.ACCUM}) * {C.ACCUM})""",
+        "batch_plan_permuted": f"""WITH RECURSIVE {STORY_BLOCKS}, n AS (SELECT count(*) AS n FROM blocks),
+walk AS (
+  SELECT epoch, block_id, block_id AS x, 0 AS i
+  FROM blocks, (SELECT unnest(range(1, {C.EPOCHS + 1}))::INTEGER AS epoch)
+  UNION ALL SELECT epoch, block_id,
+    CASE WHEN substr(md5('{SEED}:' || epoch || ':' || i || ':' || greatest(x, y)), 1, 1) >= '8' THEN y ELSE x END, i + 1
+  FROM (SELECT *, (k - x + n) % n AS y FROM (
+    SELECT walk.*, n, ('0x' || substr(md5('{SEED}:' || epoch || ':' || i), 1, 15))::BIGINT % n AS k FROM walk, n WHERE i < {SWAP_ROUNDS})))
+SELECT epoch, block_id, x AS position, x // {C.BATCH} AS batch, x // {C.BATCH} // {C.ACCUM} AS step FROM walk, n
+WHERE i = {SWAP_ROUNDS} AND x // {C.BATCH} < least(n // {C.BATCH}, greatest(1, n // {C.BATCH} // {C.ACCUM}) * {C.ACCUM})""",
         "eval_plan": f"""WITH {STORY_BLOCKS}, n AS (SELECT count(*) AS n FROM blocks)
 SELECT block_id, block_id // least({C.EVAL_BATCH}, n) AS batch FROM blocks, n
 WHERE block_id // least({C.EVAL_BATCH}, n)
