@@ -61,9 +61,10 @@ def links(prints: DataFrame) -> DataFrame:
     """``(a, b)`` pairs of distinct fingerprints within RADIUS bits that connect all that are linked, from a
     column ``fp`` of distinct fingerprints."""
     masks = [0, *(1 << b for b in range(63)), -(1 << 63)]  # at most half of RADIUS bits
-    # Each row becomes 65: as many tasks as the shuffle behind has, however few rows there are.
+    # Each row becomes 65: as many tasks as the shuffle behind has, however few rows there are. Dealt by another key than the
+    # rows lie by, or the exchange would be left out and its few small partitions put together.
     tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    variants = prints.repartition(tasks, "fp").select("fp", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])).alias("mask"))
+    variants = prints.repartition(tasks, F.xxhash64("fp")).select("fp", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])).alias("mask"))
     met = (variants.groupBy(F.col("fp").bitwiseXOR(F.col("mask")).alias("variant"))
            .agg(F.collect_set("fp").alias("fps")).where(F.size("fps") > 1))
     pairs = met.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).where("a != b").distinct()
