@@ -662,3 +662,61 @@ def test_target_counts_all_trusted_texts(spark, kind):
         judged = quality.judge(docs, labels, max_labelled=most).select("doc_id", "score").collect()
         for k in expected:
             assert sorted(s for i, s in judged if i == k) == pytest.approx(sorted(expected[k]), abs=1e-8)
+
+
+# The pipeline
+
+def test_the_pipeline_by_brute_force(spark, tmp_path):
+    """All stages over one small folder: what each drops and changes, found by comparing everything with everything."""
+    import corpus_pipeline
+
+    draw = random.Random(21)
+    item = prose(900, 24)
+    texts = {i: prose(i, draw.randrange(60, 90)) for i in range(60)}
+    for i in range(10):
+        texts[100 + i] = texts[i]  # copies
+        texts[200 + i] = f"{texts[10 + i]} filthyword you filthyword"
+        words = item.split()
+        words[i + 2] = "changed"
+        texts[300 + i] = f"{prose(i + 5000, 40)} {' '.join(words)} {prose(i + 6000, 30)}"
+        texts[400 + i] = f"{prose(i + 7000, 50)} password=abcdef12345{i} and 0123456789abcdef{i} {prose(i + 8000, 20)}"
+    texts |= {500: "", 501: " \n", 502: "short"}
+    docs = [(k, t, "en", "web", len(t)) for k, t in texts.items()]
+    marked = {k: int(200 <= k < 210) for k in texts}
+    for name, rows, schema in (
+            ("documents", docs, "doc_id long, text string, lang string, source string, n_chars long"),
+            ("labels", [(k, 1, v) for k, v in marked.items() for _ in range(1)], "doc_id long, quality int, toxic int"),
+            ("benchmark", [(1, item), (2, prose(901, 30))], "item_id long, text string")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    folder = str(tmp_path)
+    found = {r.doc_id: r for r in corpus_pipeline.run(spark, folder).collect()}
+
+    table_ = spark.read.parquet(f"{folder}/documents.parquet")
+    model = toxicity.learn(table_, spark.read.parquet(f"{folder}/labels.parquet"))
+    scores = {r.doc_id: r.score for r in toxicity.score(table_, model).collect()}
+    left = {k: t for k, t in texts.items() if scores[k] < 0.5}
+    prints = {k: brute_fingerprint(t) for k, t in left.items()}
+    parent = {k: k for k in left}
+
+    def root(k):
+        return k if parent[k] == k else root(parent[k])
+    for a in left:
+        for b in left:
+            if a < b and (prints[a] ^ prints[b]).bit_count() <= 2 and root(a) != root(b):
+                parent[max(root(a), root(b))] = min(root(a), root(b))
+    left = {k: t for k, t in left.items() if root(k) == k}
+    left = {k: t for k, t in left.items() if edit_distance_to_stretch(fold(item), fold(t)) > int(24 * 0.15)}
+    assert not any(k in left for k in (*range(100, 110), *range(300, 310))) and set(range(400, 410)) <= set(left)
+    for k, text in left.items():
+        spans = [(a, b, kind) for a, b, kind, _ in secrets.base_spans(text)]
+        out, at = [], 0
+        for a, b, kind in spans:
+            if a >= at:
+                out.append(text[at:a] + f"[{kind}]")
+            at = max(at, b)
+        left[k] = "".join(out) + text[at:]
+    expected = {}
+    for k, text in left.items():
+        ids = LIBRARY.encode(text, add_special_tokens=False).ids
+        expected[k] = (len(ids), sha(",".join(map(str, ids))), sha(text))
+    assert {k: tuple(r)[1:] for k, r in found.items()} == expected
