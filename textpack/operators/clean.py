@@ -39,10 +39,10 @@ def computed_once(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
 def usable_stories(rows: DataFrame, key: str, text: str = "text",
                    max_rows: int | None = None) -> DataFrame:
-    """Stripped, non-empty stories as (key, text); optionally the first ``max_rows`` of them."""
+    """Stripped, non-empty stories as (key, text); optionally the first ``max_rows`` of them, in order."""
     kept = rows.select(key, py_strip(F.coalesce(F.col(text), F.lit(""))).alias("text")).where(
         "text <> ''")
-    return kept if max_rows is None else limit_n(kept, key, max_rows)
+    return kept if max_rows is None else limit_n(kept, key, max_rows).orderBy(key)
 
 
 def synth_user_turn(rows: DataFrame, key: str, text: str = "text",
@@ -50,7 +50,7 @@ def synth_user_turn(rows: DataFrame, key: str, text: str = "text",
     """Stories without an instruction get the default user turn."""
     pairs = rows.select(key, F.lit(DEFAULT_USER_TURN).alias("user"),
                         clean(text).alias("assistant")).where("assistant <> ''")
-    return pairs if max_rows is None else limit_n(pairs, key, max_rows)
+    return pairs if max_rows is None else limit_n(pairs, key, max_rows).orderBy(key)
 
 
 def clean_pairs(pairs: DataFrame) -> DataFrame:
