@@ -1,6 +1,7 @@
 import random
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -218,3 +219,62 @@ def test_a_vocabulary_of_full_size_is_learned_in_few_rounds(spark):
     ours = bpe.train_vocabulary(bpe.piece_counts(documents), 4096, rounds)
     assert ours.tokens() == sorted(theirs, key=theirs.get)
     assert sum(rounds) == len(ours.merges) >= 4096 - 257 and len(rounds) < 200
+
+
+def test_runs_of_merges_against_one_merge_at_a_time(spark):
+    """A whole run is made at once, and its changes of pair counts are those of making its merges in turn."""
+    from collections import Counter
+
+    import pyarrow as pa
+
+    from textpack.constants import SYMBOL_BASE
+    from textpack.operators.speculation import Chain, Step
+
+    def once(piece, a, b, merged):
+        out, i = [], 0
+        while i < len(piece):
+            hit = piece[i:i + 2] == [a, b]
+            out.append(merged if hit else piece[i])
+            i += 2 if hit else 1
+        return out
+
+    rng = random.Random(8)
+    for trial in range(60):
+        known, merges = list(range(1, 4)), []
+        for _ in range(10):
+            a, b = rng.choice(known), rng.choice(known)
+            merged = rng.choice([x for x in known if x not in (a, b)]) if rng.random() < 0.15 else max(known) + 1
+            merges.append((a, b, merged))
+            known.append(merged)
+        pieces = [[rng.randrange(1, 4) for _ in range(rng.randrange(2, 16))] for _ in range(30)]
+        counts = [rng.randrange(1, 9) for _ in pieces]
+        batch = pa.RecordBatch.from_pydict({"symbols": ["".join(chr(SYMBOL_BASE + x) for x in p) for p in pieces], "n": counts})
+        expected, after = Counter(), pieces
+        for k, merge in enumerate(merges):
+            made = [once(p, *merge) for p in after]
+            for old, new, n in zip(after, made, counts):
+                expected.update({(k, *x): n * m for x, m in Counter(zip(new, new[1:])).items()})
+                expected.subtract({(k, *x): n * m for x, m in Counter(zip(old, old[1:])).items()})
+            after = made
+        runs = bpe.in_runs(merges)
+        assert sum(runs, []) == merges
+        held, chain = bpe._Pieces(batch), Chain(np.array(sum(pieces, [])), np.array([len(p) for p in pieces]))
+        for run in runs:
+            held.merge(bpe._Run(run))
+        assert held.texts().to_pylist() == ["".join(chr(SYMBOL_BASE + x) for x in p) for p in after]
+        for merge in merges:
+            chain.merge(np.arange(len(chain.symbols) - 1), *merge)
+        assert [s for s in chain.symbols.tolist() if s >= 0] == sum(after, [])
+        if trial < 3:
+            state = spark.createDataFrame(list(zip(batch.column(0).to_pylist(), counts)), "symbols string, n long")
+            found = bpe.count_changes(state, [], [Step(*m, True) for m in merges]).collect()
+            got = {(r.step, *divmod(r.pair, 65536)): r.change for r in found}
+            assert got == {key: by for key, by in expected.items() if by}
+
+
+def test_rounds_hold_for_long(spark):
+    """A round accepts some 50 merges of the full vocabulary on average."""
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text")
+    rounds = []
+    bpe.train_vocabulary(bpe.piece_counts(documents), 4096, rounds)
+    assert len(rounds) < 76
