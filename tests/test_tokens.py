@@ -278,3 +278,28 @@ def test_rounds_hold_for_long(spark):
     rounds = []
     bpe.train_vocabulary(bpe.piece_counts(documents), 4096, rounds)
     assert len(rounds) < 76
+
+
+@pytest.mark.parametrize("merges", [(), ((66, 67, 257), (257, 68, 258))])
+def test_memory_does_not_grow_with_the_batch(merges):
+    """A batch of 26 MB takes little more than its ids; its slices give what single rows give."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    vocabulary = Vocabulary(merges)
+    encode = (K._piece_encoder if merges else K._byte_encoder)(vocabulary)
+    rng = random.Random(9)
+    rows = [[rng.choice(["abc", " cab", "<|endoftext|>", "é", " ab"]) * rng.randrange(1, 9) for _ in range(n)]
+            for n in (*[400] * 100, 0, 1, 300_000, 0)]
+    batch = pa.array(rows, pa.list_(pa.string())).slice(3)
+    big = pa.concat_arrays([batch.slice(0, 97)] * 50)
+    for work, given in ((encode, big), (K._decoder(vocabulary, False), encode(big))):
+        tracemalloc.start()
+        made = work(given)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < made.nbytes + 100 * K.SLICE
+    ids = encode(batch)
+    assert ids.to_pylist() == [encode(batch.slice(i, 1)).to_pylist()[0] for i in range(len(batch))]
+    assert K._decoder(vocabulary, False)(ids).to_pylist() == ["".join(r).encode() for r in rows[3:]]
