@@ -664,6 +664,27 @@ def test_target_counts_all_trusted_texts(spark, kind):
             assert sorted(s for i, s in judged if i == k) == pytest.approx(sorted(expected[k]), abs=1e-8)
 
 
+def test_all_labelled_texts_count(spark, monkeypatch):
+    """The target holds every trusted text, and the threshold is fitted on every labelled one."""
+    rows = [(i, prose(i, 80)) for i in range(80)]
+    labels = spark.createDataFrame([(k, k % 3 and 1) for k in range(80)], "doc_id long, quality int")
+    total = np.full((2, quality.BUCKETS), quality.SMOOTHING)
+    for k, text in rows:
+        found, _ = quality.bucket_runs(pa.array([text], pa.string()))
+        np.add.at(total[0], found, 1)
+        if k % 3:
+            np.add.at(total[1], found, 1)
+    shares = np.log(total[1] / total[1].sum()) - np.log(total[0] / total[0].sum())
+    fitted = []
+    best = quality.best_threshold
+    monkeypatch.setattr(quality, "best_threshold", lambda scored, good: fitted.append(scored.count()) or best(scored, good))
+    judged = {r.doc_id: r.score for r in quality.judge(table(spark, rows), labels).collect()}
+    for k, text in rows:
+        found, _ = quality.bucket_runs(pa.array([text], pa.string()))
+        assert judged[k] == pytest.approx(shares[found].mean(), abs=1e-8)
+    assert fitted == [80]
+
+
 # The pipeline
 
 def test_the_pipeline_by_brute_force(spark, tmp_path):
