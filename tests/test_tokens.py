@@ -280,6 +280,68 @@ def test_rounds_hold_for_long(spark):
     assert len(rounds) < 76
 
 
+def test_steps_are_taken_in_another_order_than_proposed():
+    """Merges that can't meet in a text go before each other in one round, also beside each other's tokens."""
+    import pyarrow as pa
+
+    from textpack.constants import SYMBOL_BASE
+    from textpack.operators.speculation import Replay, Step
+
+    def counted(pieces, weights, steps):
+        held = bpe._Pieces(pa.RecordBatch.from_pydict(
+            {"symbols": ["".join(chr(SYMBOL_BASE + x) for x in p) for p in pieces], "n": weights}))
+        changes = []
+        held.merge(bpe._Run([(s.a, s.b, s.merged) for s in steps]), changes)
+        key, by = bpe._summed(changes)
+        return pa.table({"step": key // 65536 ** 2, "pair": key % 65536 ** 2, "change": by})
+
+    rng = random.Random(5)
+    taken = 0
+    for _ in range(200):
+        pieces = [[rng.randrange(1, 8) for _ in range(rng.randrange(2, 12))] for _ in range(30)]
+        weights = [rng.randrange(1, 9) for _ in pieces]
+        counts = {}
+        for p, n in zip(pieces, weights):
+            for pair in zip(p, p[1:]):
+                counts[pair] = counts.get(pair, 0) + n
+        # The most frequent pairs, in any order; in the end each is proposed as if the others weren't there.
+        pairs = sorted(counts, key=lambda x: (-counts[x], x))[:4]
+        rng.shuffle(pairs)
+        steps = [Step(a, b, 8 + i, True) for i, (a, b) in enumerate(pairs)]
+        tokens = [chr(97 + i) for i in range(8)]
+        replay = Replay(dict(counts), 0)
+        accepted, complete = replay.accept(steps, counted(pieces, weights, steps), tokens, {})
+        assert complete
+        taken += len(accepted)
+        for a, b, merged in accepted:  # one at a time, each the most frequent of its time
+            assert (a, b) == min(counts, key=lambda x: (-counts[x], x))
+            after = []
+            for p in pieces:
+                out, i = [], 0
+                while i < len(p):
+                    hit = p[i:i + 2] == [a, b]
+                    out.append(merged if hit else p[i])
+                    i += 2 if hit else 1
+                after.append(out)
+            pieces, counts = after, {}
+            for p, n in zip(pieces, weights):
+                for pair in zip(p, p[1:]):
+                    counts[pair] = counts.get(pair, 0) + n
+        assert {k: n for k, n in replay.counts.items() if n} == counts
+    assert taken > 230
+
+
+def test_sampled_pieces_stand_for_all(spark):
+    """Pieces taken by chance weigh as much as all; where all are taken, each weighs its count."""
+    state = spark.range(4000).selectExpr("concat('p', id) AS symbols", "1 + id % 7 + IF(id % 500 = 0, 5000, 0) AS n")
+    total = state.agg(F.sum("n")).first()[0]
+    symbols, weights = bpe.sampled_pieces(state, 1000)
+    assert len(symbols) == 1000 and abs(weights.sum() / total - 1) < 0.05
+    symbols, weights = bpe.sampled_pieces(state, 5000)
+    assert len(symbols) == 4000 and weights.sum() == total
+    assert len(bpe.sampled_pieces(state, 0)[0]) == 0
+
+
 @pytest.mark.parametrize("merges", [(), ((66, 67, 257), (257, 68, 258))])
 def test_memory_does_not_grow_with_the_batch(merges):
     """A batch of 26 MB takes little more than its ids; its slices give what single rows give."""
