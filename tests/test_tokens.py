@@ -365,3 +365,17 @@ def test_memory_does_not_grow_with_the_batch(merges):
     ids = encode(batch)
     assert ids.to_pylist() == [encode(batch.slice(i, 1)).to_pylist()[0] for i in range(len(batch))]
     assert K._decoder(vocabulary, False)(ids).to_pylist() == ["".join(r).encode() for r in rows[3:]]
+
+
+@pytest.mark.parametrize("merges", [(), ((66, 67, 257), (257, 68, 258))])
+def test_results_of_a_batch_are_handed_on_in_slices(merges):
+    """The Arrow functions never hold the ids or bytes of a whole batch."""
+    import pyarrow as pa
+
+    vocabulary = Vocabulary(merges)
+    encode = (K._piece_encoder if merges else K._byte_encoder)(vocabulary)
+    batch = pa.array([["abc", " cab", "<|endoftext|>"] * n for n in (*[4000] * 90, 0, 1, 200_000, 0)], pa.list_(pa.string()))
+    for work, given in ((encode, batch), (K._decoder(vocabulary, False), encode(batch))):
+        parts = list(K._streamed(work)(iter([given, given.slice(90), given.slice(0, 0)])))
+        assert len(parts) > 4 and all(len(p) == 1 or p.nbytes < 8 * K.SLICE for p in parts)
+        assert pa.concat_arrays(parts).equals(pa.concat_arrays([work(given), work(given.slice(90))]))
