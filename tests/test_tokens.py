@@ -280,6 +280,50 @@ def test_rounds_hold_for_long(spark):
     assert len(rounds) < 76
 
 
+def test_a_round_teaches_the_next_one(spark, monkeypatch):
+    """What a round counted of merges that it didn't accept places them in the next: with few pieces to guess from, a
+    round still accepts many."""
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text")
+    counts = bpe.piece_counts(documents).localCheckpoint()
+    whole = bpe.train_vocabulary(counts, 1500)
+    monkeypatch.setattr(bpe, "SAMPLE_PIECES", 2000)
+    rounds = []
+    assert bpe.train_vocabulary(counts, 1500, rounds) == whole
+    assert len(rounds) <= 20
+
+
+def test_changes_told_are_those_of_the_order_proposed():
+    """``re on`` was counted before ``on en``, which now leads: ``re on en`` is lost to the first and won by the second."""
+    from textpack.operators.speculation import Predictor, Step
+
+    tokens = ["", "re", "on", "en"]
+    none = np.zeros(0, dtype=np.int64)
+    predictor = Predictor(none, none, none.astype(float))
+    predictor.tell([Step(1, 2, 4, True), Step(2, 3, 5, True)],
+                   [(Step(1, 2, 4, True), {(1, 2): -100, (2, 3): -30, (4, 3): 30}), (Step(2, 3, 5, True), {(2, 3): -80})], tokens)
+    written = {t: i for i, t in enumerate(tokens)}
+    steps = predictor.propose({(1, 2): 100, (2, 3): 110}, 0, tokens, written, 4)
+    # Without the correction reon en would come next with 30, which no text holds any more.
+    assert [(s.a, s.b) for s in steps] == [(2, 3), (1, 2), (1, 4)]
+
+
+def test_few_counts_are_followed_for_long(spark, monkeypatch):
+    """Counts that fell behind are dropped, and what is learned stays the same."""
+    from textpack.operators import speculation
+
+    rng = random.Random(13)
+    words = ["".join(rng.choice("abcdeé") for _ in range(rng.randrange(2, 7))) for _ in range(150)]
+    counts = bpe.piece_counts(spark.createDataFrame([(" ".join(rng.choices(words, k=400)),) for _ in range(5)], "text string"))
+    whole = bpe.train_vocabulary(counts, 257 + 120)
+    monkeypatch.setattr(speculation, "FOLLOWED", 30)
+    assert bpe.train_vocabulary(counts, 257 + 120) == whole
+    replay = speculation.Replay({(a, b): a * 20 + b for a in range(1, 20) for b in range(1, 20)}, 3)
+    import pyarrow as pa
+    none = pa.table({"step": pa.array([], pa.int32()), "pair": pa.array([], pa.int64()), "change": pa.array([], pa.int64())})
+    replay.accept([], none, [], {})
+    assert len(replay.counts) == 30 and replay.floor == min(replay.counts.values()) - 1
+
+
 def test_steps_are_taken_in_another_order_than_proposed():
     """Merges that can't meet in a text go before each other in one round, also beside each other's tokens."""
     import pyarrow as pa
