@@ -333,6 +333,68 @@ def test_bare_keys_are_found_among_the_words(spark, n_bare):
     assert sum(any(s[2] == "format" for s in found[i]) for i in range(300)) <= 3
 
 
+def listed_values(texts):
+    """All distinct strings by kind, in the order that halves are taken by."""
+    found = {kind: set() for kind in (*secrets.KINDS, secrets.FORMAT)}
+    for text in texts:
+        spans = secrets.base_spans(text)
+        for _, _, kind, value in spans:
+            found[kind].add(value)
+        found[secrets.FORMAT].update(m[0] for m in secrets.candidates(text, spans))
+    return {kind: sorted(v, key=lambda s: (secrets.xxhash.xxh64_intdigest(s) >> 1, s)) for kind, v in found.items()}
+
+
+def mixed_texts(n):
+    draw = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    parts = ("and", "on", "he", "only", "tion", "which", "streed", "ly", "lamp", "river", "the", "ed", "A", "x-", "/", "4")
+    key, word = (lambda: "".join(draw.choice(letters) for _ in range(draw.choice((14, 16))))), (lambda: "".join(
+        draw.choice(parts) for _ in range(draw.randrange(4, 7))))
+    return [f"{word()} token={key()} {word()} {draw.choice(('', key_like(i), key()))}" for i in range(n)]
+
+
+@pytest.mark.parametrize("n", [1, 2, 150, 2300])
+def test_formats_are_those_of_lists_of_all_strings(spark, monkeypatch, n):
+    texts = mixed_texts(n)
+    if n > 2000:  # every prefix is a state before merging, as with fewer strings
+        monkeypatch.setattr(secrets, "PREFIX_SHARE", 1 << 20, raising=False)
+    formats = secrets.learn(table(spark, list(enumerate(texts)) + [(n, texts[0])]))
+    listed = secrets.Formats(listed_values(texts))
+    assert formats.tables == listed.tables and formats.ordinary == listed.ordinary
+
+
+def test_automata_count_all_strings_whole(spark):
+    """More strings than prefixes can be told apart by, and strings longer than such prefixes."""
+    texts = mixed_texts(2300) + [f"secret: {prose(i, 60).replace(' ', '').replace('é', 'e')}" for i in range(5)]
+    strings = secrets.labelled_strings(table(spark, list(enumerate(texts))))
+    total, values = secrets.sizes(strings), listed_values(texts)
+    assert total == {kind: len(v) for kind, v in values.items() if v} and total["assign"] > 2000
+    made = secrets.automata(strings, total, [(k, p) for k in ("assign", "hex") for p in (secrets.WHOLE, secrets.EVEN, secrets.ODD)])
+    for (kind, part), automaton in made.items():
+        own = values[kind][{secrets.ODD: 1}.get(part, 0)::1 if part == secrets.WHOLE else 2]
+        counts, machine = [[0] * (secrets.END + 1) for _ in automaton.kept], automaton.machine()
+        for value in own:
+            state = 0
+            for c in value.translate(secrets._TO_CLASSES):
+                counts[state][int(c)] += 1
+                state = machine[state][int(c)]
+            counts[state][secrets.END] += 1
+        assert sum(row[secrets.END] for row in counts) == len(own)
+        for row, state in zip(counts, automaton.kept):
+            assert automaton.visits[state] == sum(row) and automaton.ends[state] == row[secrets.END]
+            assert automaton.passes[state] == {c: n for c, n in enumerate(row[:secrets.END]) if n}
+
+
+def test_long_keys_are_learned_from(spark):
+    draw = random.Random(15)
+    keys = ["".join(draw.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(150)) for _ in range(220)]
+    parts = ("and", "on", "he", "only", "tion", "which", "streed", "ly", "lamp", "river", "the", "ed")
+    rows = [(i, f"word {''.join(draw.choice(parts) for _ in range(6))} token={k}") for i, k in enumerate(keys[:200])]
+    docs = table(spark, rows + [(200 + i, f"see {k} there") for i, k in enumerate(keys[200:])])
+    found = {r.doc_id: [tuple(s) for s in r.found] for r in secrets.scan(docs, secrets.learn(docs)).collect()}
+    assert sum(found[200 + i] == [(4, 154, "format")] for i in range(20)) >= 18
+
+
 # Toxicity
 
 def test_toxicity_learns_sentences(spark):

@@ -7,14 +7,17 @@ text is scored by its log likelihood ratio per character between the best kind a
 
 Words without a label are not all ordinary: bare credentials lie among them. Those that fit a kind as its own
 strings do, and better than the classes of the other words, are left out of what ordinary words are learned from.
+
+Every distinct string of all texts counts. Jobs count by prefix and by state; the driver has only the tree of the
+prefixes that enough strings share, whose size doesn't follow the corpus, and merges it. The strings, whole and all of
+them, are then read by the merged automaton, and its probabilities are those of this reading.
 """
 
 from __future__ import annotations
 
-import heapq
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from statistics import median
 
@@ -22,8 +25,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from textpack.llm.words import by_slice, schema_with
+from textpack.operators.ordering import RANGE, global_offset, in_ranges, range_buckets
 from textpack.session import materialize
 
 KINDS = ("assign", "access", "hex")
@@ -34,8 +39,9 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{12,}")
 LEAST_VALUE = 12
-#: Distinct labelled strings of each kind that an automaton is learned from, and the longest of them.
-MAX_LABELLED, MAX_LENGTH = 2000, 128
+#: A prefix is a state before merging if one in so many distinct strings of its kind, or more, have it, and up to this
+#: length. What strings read beyond such prefixes is counted once the states are merged, from the first state on.
+PREFIX_SHARE, MAX_PREFIX = 2000, 128
 #: Significance of a merge, visits below which a state says nothing, and added count of every symbol.
 ALPHA, LEAST_VISITS, ADDED = 0.05, 8, 0.05
 #: Log likelihood ratio per character from which a word is a secret.
@@ -49,6 +55,8 @@ _CLASS_OF = {c: k for k, group in enumerate((
     "0123456789", "abcdef", "ghijklmnopqrstuvwxyz", "ABCDEF", "GHIJKLMNOPQRSTUVWXYZ", "_.-", "+/", "=")) for c in group}
 _TO_CLASSES = str.maketrans({c: str(k) for c, k in _CLASS_OF.items()})
 N_CLASSES, END = 8, 8
+#: Strings of a kind by their place in hash order: all, those at even places, those at odd ones.
+WHOLE, EVEN, ODD = "whole", "even", "odd"
 
 
 def base_spans(text: str) -> list[tuple[int, int, str, str]]:
@@ -99,6 +107,28 @@ class Automaton:
         self.passes: list[dict[int, int]] = [{c: self.visits[t] for c, t in m.items()} for m in self.moves]
         self.merge_states()
 
+    @classmethod
+    def of_tree(cls, moves: list[list[int]], counts: list[list[int]]) -> Automaton:
+        """Of a tree of prefixes, its moves (-1: to none of them) and how often each symbol is read there."""
+        made = cls.__new__(cls)
+        made.moves = [{c: t for c, t in enumerate(m) if t >= 0} for m in moves]
+        made.kept = list(range(len(moves)))
+        made.visits, made.ends, made.passes = [0] * len(moves), [0] * len(moves), [{} for _ in moves]
+        made.count(counts)
+        made.merge_states()
+        return made
+
+    def count(self, counts: list[list[int]]) -> None:
+        """Take how often each class, and the end, is read in the kept states."""
+        for state, seen in zip(self.kept, counts):
+            self.visits[state], self.ends[state] = sum(seen), seen[END]
+            self.passes[state] = {c: n for c, n in enumerate(seen[:END]) if n}
+
+    def machine(self) -> list[list[int]]:
+        """The next states by number of the kept state; what leads to no known prefix goes on from the first."""
+        number = {state: i for i, state in enumerate(self.kept)}
+        return [[number[self.moves[state].get(c, 0)] for c in range(N_CLASSES)] for state in self.kept]
+
     def differ(self, f1: int, n1: int, f2: int, n2: int) -> bool:
         bound = math.sqrt(0.5 * math.log(2 / ALPHA)) * (1 / math.sqrt(n1) + 1 / math.sqrt(n2))
         return abs(f1 / n1 - f2 / n2) > bound
@@ -117,7 +147,7 @@ class Automaton:
                 f1, f2 = self.passes[a].get(c, 0), self.passes[b].get(c, 0)
                 if (f1 or f2) and self.differ(f1, n1, f2, n2):
                     return False
-                if f1 and f2 and self.moves[a][c] != self.moves[b][c]:
+                if c in self.moves[a] and c in self.moves[b] and self.moves[a][c] != self.moves[b][c]:
                     todo.append((self.moves[a][c], self.moves[b][c]))
         return True
 
@@ -128,8 +158,9 @@ class Automaton:
             a, b = todo.pop()
             self.visits[a] += self.visits[b]
             self.ends[a] += self.ends[b]
+            for c, n in self.passes[b].items():
+                self.passes[a][c] = self.passes[a].get(c, 0) + n
             for c, target in list(self.moves[b].items()):
-                self.passes[a][c] = self.passes[a].get(c, 0) + self.passes[b][c]
                 if c in self.moves[a]:
                     todo.append((self.moves[a][c], target))
                 else:
@@ -164,7 +195,8 @@ class Automaton:
             total = math.log(self.visits[state] + ADDED * (N_CLASSES + 1))
             logs = [math.log(self.passes[state].get(c, 0) + ADDED) - total for c in range(N_CLASSES)]
             rows.append((logs + [math.log(self.ends[state] + ADDED) - total],
-                         [number.get(self.moves[state].get(c, -1), len(number)) for c in range(N_CLASSES)]))
+                         [number[self.moves[state].get(c, 0)] if c in self.passes[state] else len(number)
+                          for c in range(N_CLASSES)]))
         logs = log_shares([sum(self.passes[s].get(c, 0) for s in self.kept) for c in range(N_CLASSES)]
                           + [sum(self.ends[s] for s in self.kept)])
         rows.append((logs, [len(number)] * N_CLASSES))
@@ -226,6 +258,12 @@ class Formats:
         self.threshold = THRESHOLD
         self.ratio = lru_cache(maxsize=1 << 16)(self._ratio)
 
+    @classmethod
+    def of_tables(cls, tables: list, ordinary: list | None) -> Formats:
+        made = cls.__new__(cls)
+        made.__setstate__((ordinary, tables, THRESHOLD))
+        return made
+
     def __getstate__(self):
         return self.ordinary, self.tables, self.threshold
 
@@ -249,46 +287,201 @@ class Formats:
         return sorted([(a, b, k) for a, b, k, _ in base] + added, key=lambda s: (s[0], order[s[2]]))
 
 
-def labelled_values(docs: DataFrame, text: str = "text") -> dict[str, list[str]]:
-    """At most MAX_LABELLED distinct strings of each kind and of ordinary words, the smallest by hash.
+def labelled_strings(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``(kind, classes, even, odd)``, a written table: how many distinct strings of each kind, and ordinary words as a kind
+    of their own, have these character classes.
 
-    Each task keeps that many of its own, so the bound holds for any corpus and no task sends more.
+    Strings of a kind are counted by their places in hash order, even and odd ones apart; words are all even.
+    """
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = set()
+        for value in batch.column(0):
+            body = value.as_py() or ""
+            spans = base_spans(body)
+            found.update((kind, v) for _, _, kind, v in spans)
+            found.update((FORMAT, m[0]) for m in candidates(body, spans))
+        kinds, values = zip(*found) if found else ((), ())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(kinds, pa.string()), pa.array([xxhash.xxh64_intdigest(v) >> 1 for v in values], pa.int64()),
+             pa.array(values, pa.string())], names=["kind", "rank", "value"])
+
+    found = materialize(docs.select(F.col(text).alias("text")).mapInArrow(
+        by_slice(run), "kind string, rank long, value string").distinct(), "labelled")
+    ranged = in_ranges(found.where(F.col("kind") != FORMAT), "kind", "rank", "value")
+    placed = global_offset(ranged, F.lit(1), F.struct("rank", "value"), range_buckets(), ["kind"], out="place")
+    halves = placed.select("kind", "value", F.pmod("place", F.lit(2)).alias("odd")).unionByName(
+        found.where(F.col("kind") == FORMAT).select("kind", "value", F.lit(0).cast("long").alias("odd")))
+    classes = F.translate("value", "".join(_CLASS_OF), "".join(map(str, _CLASS_OF.values())))
+    return materialize(halves.groupBy("kind", classes.alias("classes")).agg(
+        F.sum(1 - F.col("odd")).alias("even"), F.sum("odd").alias("odd")), "classes")
+
+
+def sizes(strings: DataFrame) -> dict[str, int]:
+    """How many strings each kind has."""
+    return dict(map(tuple, strings.groupBy("kind").agg(F.sum(F.col("even") + F.col("odd"))).collect()))
+
+
+def readings(strings: DataFrame, machines: dict[tuple[str, str], list[list[int]]]) -> dict[tuple[str, str], list[list[int]]]:
+    """How often each class, and the end, is read in each state, over all strings of a kind and part.
+
+    A machine is given as the next states by class, from the first state on; at -1 no more is read.
     """
+    keys = list(machines)
+    shared = strings.sparkSession.sparkContext.broadcast([(*k, machines[k]) for k in keys])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[str, dict[str, int]] = {k: {} for k in (*KINDS, FORMAT)}
-        worst = dict.fromkeys(best, 1 << 64)
-
-        def put(kind: str, value: str) -> None:
-            rank = xxhash.xxh64_intdigest(value)
-            if rank < worst[kind] and len(value) <= MAX_LENGTH:
-                chosen = best[kind]
-                chosen[value] = rank
-                if len(chosen) >= 2 * MAX_LABELLED:
-                    best[kind] = dict(heapq.nsmallest(MAX_LABELLED, chosen.items(), key=lambda i: (i[1], i[0])))
-                    worst[kind] = max(best[kind].values())
+        counts: list[dict[tuple[int, int], int]] = [{} for _ in shared.value]
+        for batch in batches:
+            for kind, classes, even, odd in zip(*(column.to_pylist() for column in batch.columns)):
+                symbols = [int(c) for c in classes]
+                n_of = {WHOLE: even + odd, EVEN: even, ODD: odd}
+                for (of, part, moves), seen in zip(shared.value, counts):
+                    n = n_of[part]
+                    if of != kind or not n:
+                        continue
+                    state = 0
+                    for c in symbols:
+                        seen[state, c] = seen.get((state, c), 0) + n
+                        state = moves[state][c]
+                        if state < 0:
+                            break
+                    else:
+                        seen[state, END] = seen.get((state, END), 0) + n
+        rows = [(k, state, c, n) for k, seen in enumerate(counts) for (state, c), n in seen.items()]
+        columns = zip(*rows) if rows else ((), (), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.int32(), pa.int64()))],
+                                         names=["machine", "state", "symbol", "n"])
+
+    totals = {k: [[0] * (END + 1) for _ in machines[k]] for k in keys}
+    found = strings.select("kind", "classes", "even", "odd").mapInArrow(run, "machine int, state int, symbol int, n long")
+    for k, state, c, n in found.groupBy("machine", "state", "symbol").agg(F.sum("n")).collect():
+        totals[keys[k]][state][c] = n
+    return totals
+
+
+def automata(strings: DataFrame, total: dict[str, int], parts: list[tuple[str, str]]) -> dict[tuple[str, str], Automaton]:
+    """The automata of all strings of each kind and part; ``total`` tells how many strings a kind has.
+
+    As long as no kind has more than PREFIX_SHARE strings, and none longer than MAX_PREFIX, these are the automata of the lists.
+    """
+    enough = F.lit(False)
+    for kind, _ in parts:
+        enough |= (F.col("kind") == kind) & ((F.col("even") + F.col("odd")) * PREFIX_SHARE >= total[kind])
+    heads = strings.select("kind", F.left("classes", F.lit(MAX_PREFIX)).alias("head"), "even", "odd")
+    prefixes = (heads.withColumn("size", F.explode(F.sequence(F.lit(0), F.length("head"))))
+                .groupBy("kind", F.left("head", F.col("size")).alias("prefix")).agg(F.sum("even").alias("even"), F.sum("odd").alias("odd"))
+                .where(enough).collect())
+    trees = {}
+    for kind, part in parts:
+        known = {}
+        for r in sorted(prefixes, key=lambda r: r["prefix"]):
+            n = r["even"] + r["odd"] if part == WHOLE else r[part]
+            if r["kind"] == kind and n and n * PREFIX_SHARE >= total[kind]:
+                known[r["prefix"]] = len(known)
+        trees[kind, part] = [[known.get(f"{p}{c}", -1) for c in range(N_CLASSES)] for p in known]
+    made = {k: Automaton.of_tree(trees[k], counts) for k, counts in readings(strings, trees).items()}
+    for k, counts in readings(strings, {k: a.machine() for k, a in made.items()}).items():
+        made[k].count(counts)
+    return made
+
+
+def values_at(rows: DataFrame, places: list[tuple[str, int]]) -> list[float]:
+    """For each kind and place (from 0) the value there, of rows ``(kind, value, n)`` in the order of values, each ``n`` times."""
+    ranged = in_ranges(rows.groupBy("kind", "value").agg(F.sum("n").alias("n")), "kind", "value")
+    counts = sorted(map(tuple, ranged.groupBy("kind", RANGE).agg(F.sum("n")).collect()))  # a row per shuffle partition and kind
+    found = []
+    for kind, place in places:
+        for number, n in ((r, n) for of, r, n in counts if of == kind):
+            if place < n:
+                found.append((F.col("kind") == kind) & (F.col(RANGE) == number) & (F.col("upto") > place))
+                break
+            place -= n
+    upto = Window.partitionBy("kind", RANGE).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return list(ranged.withColumn("upto", F.sum("n").over(upto)).agg(*[F.min(F.when(at, F.col("value"))) for at in found]).first())
+
 
+def least_fits(strings: DataFrame, total: dict[str, int], halves: dict[str, tuple[list, list]]) -> dict[str, float]:
+    """For each kind the likelihood per character that all but the LEAST_FIT lowest of its strings have, by the table of the half
+    that they are not in; ``halves`` are the tables of the even and the odd half."""
+    shared = strings.sparkSession.sparkContext.broadcast(halves)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for value in batch.column(0):
-                body = value.as_py() or ""
-                spans = base_spans(body)
-                for _, _, kind, found in spans:
-                    put(kind, found)
-                for m in candidates(body, spans):
-                    put(FORMAT, m[0])
-        rows = [(k, v, r) for k, chosen in best.items() for v, r in chosen.items()]
-        kinds, values, ranks = zip(*rows) if rows else ((), (), ())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(kinds, pa.string()), pa.array(values, pa.string()),
-             pa.array([r >> 1 for r in ranks], pa.int64())], names=["kind", "value", "rank"])
-
-    found = materialize(docs.select(text).mapInArrow(run, "kind string, value string, rank long"), "labelled")
-    return {kind: [r["value"] for r in found.where(F.col("kind") == kind).select("rank", "value").distinct()
-                   .orderBy("rank", "value").limit(MAX_LABELLED).collect()] for kind in (*KINDS, FORMAT)}
+            rows = [(kind, log_likelihood(table, s) / len(s), n) for kind, s, even, odd in zip(*(c.to_pylist() for c in batch.columns))
+                    for table, n in zip(shared.value[kind], (odd, even)) if n]
+            columns = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.float64(), pa.int64()))],
+                                             names=["kind", "value", "n"])
+
+    own = strings.where(F.col("kind") != FORMAT).select("kind", "classes", "even", "odd").mapInArrow(
+        run, "kind string, value double, n long")
+    return dict(zip(halves, values_at(own, [(kind, int(LEAST_FIT * total[kind])) for kind in halves]))) if halves else {}
+
+
+def with_number(rows: DataFrame, name: str, of: Callable[[dict], float | None]) -> DataFrame:
+    """``rows`` with a double that ``of`` tells from each row."""
+    schema = schema_with(rows, f"{name} double")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.array([of(r) for r in batch.to_pylist()], pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def ordinary_strings(words: DataFrame, tables: dict[str, list], least: dict[str, float]) -> DataFrame:
+    """The words that are not like a kind, as in ``ordinary_of``; the kinds are given by their tables and least fits."""
+    shared = words.sparkSession.sparkContext.broadcast((tables, least))
+
+    def best_fit(row: dict) -> float | None:
+        w = row["classes"]
+        fits = [(log_likelihood(table, w) / len(w), shared.value[1][kind]) for kind, table in shared.value[0].items()]
+        return max((fit for fit, bound in fits if fit >= bound), default=None)
+
+    def seen_in(rows: DataFrame) -> list[int]:
+        n = F.col("even") + F.col("odd")
+        return [x or 0 for x in rows.agg(*[F.sum(n * F.length(F.regexp_replace("classes", f"[^{c}]", ""))) for c in range(N_CLASSES)],
+                                         F.sum(n)).first()]
+
+    scored = materialize(with_number(words, "fit", best_fit), "fits")
+    n_like = scored.where("fit IS NOT NULL").count()
+    if not n_like:
+        return words
+    everything = seen = seen_in(words)
+    for turn in range(ROUNDS):
+        table = [(log_shares(seen), [0] * N_CLASSES)]
+
+        def gain(row: dict, table=table) -> float | None:
+            return None if row["fit"] is None else row["fit"] - log_likelihood(table, row["classes"]) / len(row["classes"])
+
+        gained = with_number(scored, "gain", gain)
+        likely, most = gained.where("gain IS NOT NULL"), 0.0
+        if turn == 0:
+            most = median(values_at(likely.select("kind", F.col("gain").alias("value"), F.lit(1).alias("n")),
+                                    [(FORMAT, (n_like - 1) // 2), (FORMAT, n_like // 2)]))
+        last, seen = seen, [a - b for a, b in zip(everything, seen_in(likely.where(F.col("gain") > most)))]
+        if seen == last:
+            break
+    return materialize(gained.where(F.col("gain").isNull() | (F.col("gain") <= most)).select(words.columns), "ordinary")
 
 
 def learn(docs: DataFrame, text: str = "text") -> Formats:
     """Infer the formats from all texts."""
-    return Formats(labelled_values(docs, text))
+    strings = labelled_strings(docs, text)
+    total = sizes(strings)
+    kinds = [k for k in sorted(total) if k != FORMAT]
+    # A single string is in both halves.
+    made = {k: a.table() for k, a in automata(strings, total, [
+        (kind, part) for kind in kinds for part in ((WHOLE, EVEN, ODD) if total[kind] > 1 else (WHOLE,))]).items()}
+    tables = {kind: made[kind, WHOLE] for kind in kinds}
+    if FORMAT not in total:
+        return Formats.of_tables([*tables.values()], None)
+    halves = {kind: tuple(made.get((kind, part), tables[kind]) for part in (EVEN, ODD)) for kind in kinds}
+    plain = ordinary_strings(strings.where(F.col("kind") == FORMAT), tables, least_fits(strings, total, halves))
+    left = sizes(plain)
+    ordinary = automata(plain, left, [(FORMAT, WHOLE)])[FORMAT, WHOLE].table() if left else one_state([])
+    return Formats.of_tables([*tables.values()], ordinary)
 
 
 def scan(docs: DataFrame, formats: Formats, key: str = "doc_id", text: str = "text") -> DataFrame:
