@@ -1,9 +1,12 @@
 """The chain on a vocabulary of full size, against the public library and brute force."""
 
+import random
+
 import pytest
 
 from textpack.constants import BASE_VOCAB_SIZE, CHAT_TOKENS
 from textpack.functions import text as T
+from textpack.operators import encode
 from textpack.plans import catalog, inputs
 
 FOLDER = "/root/testdata/sf0.001"
@@ -80,3 +83,32 @@ def test_contexts_by_brute_force(spark, library, vocabulary):
     assert got == {k: (n, str(ids)) for k, (n, ids) in expected.items()}
     shown = {(r.conv_id, r.turn): r.n_pairs for r in catalog.render_transcript_full(spark, FOLDER).collect()}
     assert shown == {k: n for k, (n, _) in expected.items()}
+
+
+def test_round_trip_is_checked_on_the_whole_vocabulary(spark, tmp_path, monkeypatch):
+    """Every check of the query uses all tokens that the library learns from the same stories, and the chat tokens."""
+    from tests.test_tokens import library as trained
+
+    draw = random.Random(3)
+    words = ["".join(draw.choices("abcdefghijklmnop", k=6)) for _ in range(2000)]
+    texts = [" ".join(draw.choices(words, k=60)) for _ in range(150)]
+    texts += [texts[0], "  ", "", None, "é\U0001f600 <|end|> a\x00b", "<|endoftext|>"]
+    spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)], "doc_id long, text string") \
+        .coalesce(2).write.parquet(f"{tmp_path}/documents.parquet")
+    turns = [(1, 0, "user", f"{words[0]}?"), (1, 1, "assistant", " ".join(words[:40])), (2, 0, "user", None),
+             (2, 1, "assistant", "<|user|> <|end|>"), (2, 2, "user", "unanswered")]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string") \
+        .coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+
+    used = []
+    check, controls = encode.roundtrip_check, encode.special_token_check
+    monkeypatch.setattr(encode, "roundtrip_check", lambda rows, vocab: used.append(vocab) or check(rows, vocab))
+    monkeypatch.setattr(encode, "special_token_check", lambda vocab, rows: used.append(vocab) or controls(vocab, rows))
+    got = {r.what: (r.n_rows, r.n_bad) for r in catalog.roundtrip_check(spark, str(tmp_path)).collect()}
+    assert got == {"documents": (len(texts), 0), "chat lines": (2, 0), "control <|endoftext|>": (0, 0),
+                   "control <|user|>": (3, 0), "control <|assistant|>": (2, 0), "control <|end|>": (3, 0)}
+    theirs = trained([t.strip() for t in texts if t and t.strip()], BASE_VOCAB_SIZE)
+    theirs.add_special_tokens(CHAT_TOKENS)
+    expected = sorted(theirs.get_vocab(), key=theirs.get_vocab().get)
+    assert len(expected) == BASE_VOCAB_SIZE + len(CHAT_TOKENS)
+    assert [v.tokens() for v in used] == [expected] * 3

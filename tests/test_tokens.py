@@ -113,6 +113,18 @@ def test_roundtrip_and_controls(spark, trained):
         assert r.n_text == r.n_ids
 
 
+def test_pieces_kept_from_earlier_slices(trained, monkeypatch):
+    import pyarrow as pa
+
+    ours = trained[0].with_chat_tokens()
+    cut = [t.replace(" ", "\x1f ").split("\x1f") + ["<|end|>", "don", "'t"] for t in corpus()[:40] if t]
+    batch = pa.array([[p for p in row if p] for row in cut])
+    whole = K._piece_encoder(ours)(batch).to_pylist()
+    for size in (1, 300, 3000):
+        monkeypatch.setattr(K, "SLICE", size)
+        assert K._piece_encoder(ours)(batch).to_pylist() == whole
+
+
 def one_at_a_time(ids, merges):
     rank = {(a, b): (r, m) for r, (a, b, m) in enumerate(merges)}
     ids = list(ids)
